@@ -112,17 +112,30 @@ def latest_runs(audit: DataFrame, count: int = 5) -> DataFrame:
 
 
 def load_metrics(table: str, source: DataFrame, loaded: DataFrame) -> DataFrame:
-    """One row of counts for a full refresh of ``table`` from ``source``.
+    """One row of counts for a refresh of ``table`` from the rows of ``source``.
 
     Rejected rows are those that did not arrive, superseded versions included.
     """
-    rows = F.count(F.lit(1))
-    source_count = source.agg(rows.alias("source_record_count"))
-    loaded_count = loaded.agg(rows.alias("processed_record_count"))
-    # Both sides are single rows; an equality keeps this an ordinary join.
-    one = F.lit(table).alias("table_name")
-    joined = source_count.select(one, "*").join(loaded_count.select(one, "*"), "table_name")
-    return joined.select("table_name", *_counts())
+    return load_metrics_of(table, source.agg(F.count(F.lit(1)).alias("n")), loaded)
+
+
+def load_metrics_of(table: str, expected: DataFrame, loaded: DataFrame) -> DataFrame:
+    """The same with the number of source rows given as a single-row DataFrame."""
+    label, zero = F.lit(table).alias("table_name"), F.lit(0).cast("bigint")
+    (number,) = expected.columns
+    source_side = expected.select(
+        label, F.col(number).alias("source_record_count"), zero.alias("processed_record_count")
+    )
+    loaded_side = loaded.agg(F.count(F.lit(1)).alias("n")).select(
+        label, zero.alias("source_record_count"), F.col("n").alias("processed_record_count")
+    )
+    # Added up instead of joined: two rows, no pairing.
+    return (
+        source_side.unionByName(loaded_side)
+        .groupBy("table_name")
+        .agg(*[F.sum(c).alias(c) for c in COUNTS[:2]])
+        .select("table_name", *_counts())
+    )
 
 
 def _counts() -> list:
