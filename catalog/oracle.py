@@ -438,7 +438,7 @@ def dimension_columns(name: str) -> tuple[str, ...]:
 
 
 def _version_key(key: str, tracked: tuple[str, ...]) -> str:
-    parts = [f"CAST({key} AS VARCHAR)", "strftime(effective_from, '%Y%m%d%H%M%S%f')"]
+    parts = [f"CAST({key} AS VARCHAR)", "CAST(effective_from AS VARCHAR)"]
     parts += [f"coalesce(CAST({c} AS VARCHAR), '~')" for c in tracked]
     half = f"CAST(('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 16)) AS UBIGINT)"
     wide = f"CAST({half} AS HUGEINT)"
@@ -616,10 +616,8 @@ def with_relations(sql: str) -> str:
 
 
 def _column(c: str) -> str:
-    if c in DATES:
+    if c in DATES or c in TIMESTAMPS:
         return f"CAST({c} AS VARCHAR) AS {c}"
-    if c in TIMESTAMPS:
-        return f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f') AS {c}"
     if c in DECIMALS:
         return f"CAST({c} AS DOUBLE) AS {c}"
     return c
@@ -662,10 +660,10 @@ def _audit_sql() -> dict[str, str]:
             {', '.join(f"CAST(sum(coalesce({c}, loaded_rows, 0)) AS BIGINT) AS {c}" for c in _COUNTS[:3])},
             {', '.join(f"CAST(sum(coalesce({c}, 0)) AS BIGINT) AS {c}" for c in _COUNTS[3:])}
         FROM source2_audit_task GROUP BY 1, 2, 3"""
-    start = "strftime(start_time, '%Y-%m-%d %H:%M:%S.%f') AS start_time"
+    start = "CAST(start_time AS VARCHAR) AS start_time"
     closed = f"""
         SELECT {_audit_id()}, batch_id, dag_id, run_id, {start},
-            CASE WHEN t.status IS NULL THEN NULL ELSE '2024-03-31 00:00:00.000000' END AS end_time,
+            CASE WHEN t.status IS NULL THEN NULL ELSE '2024-03-31 00:00:00' END AS end_time,
             coalesce(t.status, 'Running') AS status, {', '.join(_COUNTS)}
         FROM source2_audit_run LEFT JOIN ({totals}) AS t USING (batch_id, dag_id, run_id)"""
     metrics = []
@@ -712,7 +710,7 @@ def _audit_sql() -> dict[str, str]:
 
 
 def _check_sql() -> dict[str, str]:
-    stamp = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f') AS {0}"
+    stamp = "CAST({0} AS VARCHAR) AS {0}"
     versions = " UNION ALL ".join(
         f"SELECT 'dim_{d}' AS dimension, CAST({key} AS VARCHAR) AS business_key,"
         " CAST(count(*) AS BIGINT) AS version_count,"

@@ -23,5 +23,4 @@ def version_key(business_key: Column, effective_from: Column, tracked: Iterable[
     The tracked values take part, so two versions that start together under a
     shared business key can still be told apart.
     """
-    stamp = F.date_format(effective_from, "yyyyMMddHHmmssSSSSSS")
-    return surrogate_key(business_key, stamp, *tracked)
+    return surrogate_key(business_key, effective_from, *tracked)

@@ -71,19 +71,34 @@ def densify(
     period: str,
     measures: Sequence[str],
     carried: Sequence[str] = (),
+    cluster_by_month: bool = False,
 ) -> DataFrame:
-    """Expand stretches over the spans; measures count in their own period only."""
+    """Expand stretches over the spans; measures count in their own period only.
+
+    ``cluster_by_month`` brings the rows of a month together. Stretches are cut
+    at month ends and moved before they are expanded, and a month too large
+    for one task is split at run time.
+    """
     first = F.greatest("first_period", "period")
     last = F.least("last_period", previous(F.col("next_period"), step))
     overlap = (F.col("period") <= F.col("last_period")) & (
         F.col("next_period").isNull() | (F.col("next_period") > F.col("first_period"))
     )
     kept = [c for c in spans.columns if c not in ("first_period", "last_period")]
-    expanded = (
+    met = (
         spans.join(active, entity)
         .where(overlap)
-        .withColumn(period, F.explode(steps(first, last, step)))
+        .select(*kept, "period", *measures, *carried, first.alias("_first"), last.alias("_last"))
     )
+    if cluster_by_month:
+        months = steps(F.trunc("_first", "MM"), F.trunc("_last", "MM"), "month")
+        met = (
+            met.withColumn("_month", F.explode(months))
+            .withColumn("_first", F.greatest("_first", "_month"))
+            .withColumn("_last", F.least("_last", F.last_day("_month")))
+            .hint("rebalance", F.col("_month"))
+        )
+    expanded = met.withColumn(period, F.explode(steps(F.col("_first"), F.col("_last"), step)))
     own_period = F.col(period) == F.col("period")
     return expanded.select(
         *kept, period, *[F.when(own_period, F.col(m)).alias(m) for m in measures], *carried

@@ -36,7 +36,8 @@ class ScdSpec:
         return (self.surrogate, self.key, *self.tracked, *PERIOD_COLUMNS)
 
 
-def _one_row_per_key(profile: DataFrame, spec: ScdSpec, on_duplicate: str) -> DataFrame:
+def one_row_per_key(profile: DataFrame, spec: ScdSpec, on_duplicate: str) -> DataFrame:
+    """Apply the rule for profile rows that share a business key."""
     if on_duplicate == "keep_all":
         return profile
     if on_duplicate == "latest":
@@ -166,13 +167,18 @@ def scd2_merge(
     ``on_duplicate`` decides about profile rows that share a key: ``keep_all``
     inserts each of them, ``latest`` keeps the newest, ``fail`` raises.
     """
-    profile = _one_row_per_key(profile, spec, on_duplicate)
+    profile = one_row_per_key(profile, spec, on_duplicate)
     versions = close_changed(dimension, profile, spec)
+    return versions.unionByName(new_versions(versions, profile, spec))
+
+
+def new_versions(versions: DataFrame, profile: DataFrame, spec: ScdSpec) -> DataFrame:
+    """The rows a load inserts, given the versions that ``close_changed`` left."""
     starts = (
         F.when(F.expr(_IS_NEW_KEY), ntz(spec.anchor))
         .when(F.expr(_IS_NEW_VERSION), F.col("updated_at"))
     )
-    inserted = (
+    return (
         _with_key_states(profile, versions, spec)
         .withColumn("effective_from", starts)
         .where("effective_from IS NOT NULL")
@@ -184,7 +190,6 @@ def scd2_merge(
         )
         .select(*spec.columns)
     )
-    return versions.unionByName(inserted)
 
 
 def scd2_changes(dimension: DataFrame, profile: DataFrame, spec: ScdSpec) -> DataFrame:

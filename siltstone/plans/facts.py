@@ -175,22 +175,37 @@ def wishlist_months(silver: Silver) -> DataFrame:
     )
 
 
-# -- occupancy ---------------------------------------------------------------
+# -- rentals, both ends of them ------------------------------------------------
 
 
-def occupancy_changes(silver: Silver) -> list[DataFrame]:
-    """+1 when an item goes out and -1 when it is back.
+def rental_ends(
+    silver: Silver, entity: str, out: str, back: str, open_rentals: str | None = None
+) -> DataFrame:
+    """Rentals and returns from one scan: a row for each end of each rental.
 
-    A rental covers ``[rental_date, return_date)``. The running total per item
+    ``open_rentals`` is +1 when an item goes out and -1 when it is back. A
+    rental covers ``[rental_date, return_date)``; the running total per item
     tells on each day whether any rental covers it, without listing the days
     of each rental and without comparing days with rentals. Rentals returned
-    on their first day cover no day and are left out.
+    on their first day, or before it, cover no day and change nothing.
     """
-    covering = silver["rental"].where("return_date IS NULL OR return_date > rental_date")
-    return [
-        contribution(covering, "inventory_id", F.col("rental_date"), {"open_rentals": _count()}),
-        contribution(covering, "inventory_id", F.col("return_date"), {"open_rentals": -_count()}),
-    ]
+    covers = F.col("return_date").isNull() | (F.col("return_date") > F.col("rental_date"))
+    change = F.when(covers, F.lit(1)).otherwise(0).cast("bigint")
+    none = F.lit(None).cast("bigint")
+
+    def end(day: str, went: Column, came: Column, sign: int) -> Column:
+        fields = [F.col(day).alias("period"), went.alias(out), came.alias(back)]
+        if open_rentals:
+            fields.append((change * sign).cast("bigint").alias(open_rentals))
+        return F.struct(*fields)
+
+    ends = F.array(
+        end("rental_date", _count(), none, 1), end("return_date", none, _count(), -1)
+    )
+    return silver["rental"].select(entity, F.inline(ends)).where("period IS NOT NULL")
+
+
+# -- occupancy ---------------------------------------------------------------
 
 
 def inventory_status(
@@ -198,7 +213,8 @@ def inventory_status(
 ) -> DataFrame:
     """Item x day with ``is_utilised`` 0 or 1."""
     bounded = inventory_days(silver, as_of, calendar)
-    parts = _until(occupancy_changes(silver), as_of)
+    ends = rental_ends(silver, "inventory_id", "rental_count", "return_count", "open_rentals")
+    parts = _until([ends.select("inventory_id", "period", "open_rentals")], as_of)
     active = stretches(bounded, parts, "inventory_id", (), ("open_rentals",))
     dense = densify(bounded, active, "inventory_id", DAY, "full_date", (), ("open_rentals",))
     return dense.select(
@@ -224,7 +240,11 @@ def _or_zero(column: str, kind: str) -> Column:
 
 @dataclass(frozen=True)
 class DenseFact:
-    """Everything a periodic snapshot differs in."""
+    """Everything a periodic snapshot differs in.
+
+    With ``cluster`` the rows of one month are written together, so filters on
+    ``date_key`` skip most files by their statistics.
+    """
 
     surrogate: str
     business_key: str
@@ -234,7 +254,12 @@ class DenseFact:
     carried: tuple[str, ...] = ()
 
     def build(
-        self, bounded: DataFrame, dimension: DataFrame, parts: Sequence[DataFrame], as_of: AsOf
+        self,
+        bounded: DataFrame,
+        dimension: DataFrame,
+        parts: Sequence[DataFrame],
+        as_of: AsOf,
+        cluster: bool,
     ) -> DataFrame:
         active = stretches(
             bounded, _until(parts, as_of), self.entity, self.measures, self.carried
@@ -242,7 +267,7 @@ class DenseFact:
         spans = version_spans(bounded, dimension, self.business_key, self.surrogate, self.step)
         spans = spans.select(self.entity, self.surrogate, "first_period", "last_period")
         return densify(
-            spans, active, self.entity, self.step, "full_date", self.measures, self.carried
+            spans, active, self.entity, self.step, "full_date", self.measures, self.carried, cluster
         ).withColumn("date_key", date_key(F.col("full_date")))
 
 
@@ -285,16 +310,20 @@ INVENTORY_DAY = DenseFact(
 
 
 def fact_customer_daily_activity(
-    silver: Silver, dimension: DataFrame, as_of: AsOf, calendar: Calendar = Calendar()
+    silver: Silver,
+    dimension: DataFrame,
+    as_of: AsOf,
+    calendar: Calendar = Calendar(),
+    cluster: bool = False,
 ) -> DataFrame:
     parts = [
         stream_days(silver),
-        rental_days(silver, "customer_id", "physical_rental_count"),
-        return_days(silver, "customer_id", "returned_item_count"),
+        rental_ends(silver, "customer_id", "physical_rental_count", "returned_item_count"),
         payment_days(silver),
         ticket_days(silver),
     ]
-    dense = CUSTOMER_DAY.build(customer_days(silver, as_of, calendar), dimension, parts, as_of)
+    bounded = customer_days(silver, as_of, calendar)
+    dense = CUSTOMER_DAY.build(bounded, dimension, parts, as_of, cluster)
     return dense.select(
         "customer_sk",
         "date_key",
@@ -308,7 +337,11 @@ def fact_customer_daily_activity(
 
 
 def fact_content_monthly_performance(
-    silver: Silver, dimension: DataFrame, as_of: AsOf, calendar: Calendar = Calendar()
+    silver: Silver,
+    dimension: DataFrame,
+    as_of: AsOf,
+    calendar: Calendar = Calendar(),
+    cluster: bool = False,
 ) -> DataFrame:
     parts = [
         stream_months(silver),
@@ -317,7 +350,8 @@ def fact_content_monthly_performance(
         rating_months(silver),
         wishlist_months(silver),
     ]
-    dense = CONTENT_MONTH.build(content_months(silver, as_of, calendar), dimension, parts, as_of)
+    bounded = content_months(silver, as_of, calendar)
+    dense = CONTENT_MONTH.build(bounded, dimension, parts, as_of, cluster)
     return dense.withColumn("average_customer_rating", average_rating()).select(
         "content_sk",
         "date_key",
@@ -330,14 +364,17 @@ def fact_content_monthly_performance(
 
 
 def fact_inventory_daily_utilization(
-    silver: Silver, dimension: DataFrame, as_of: AsOf, calendar: Calendar = Calendar()
+    silver: Silver,
+    dimension: DataFrame,
+    as_of: AsOf,
+    calendar: Calendar = Calendar(),
+    cluster: bool = False,
 ) -> DataFrame:
     parts = [
-        rental_days(silver, "inventory_id", "rental_count"),
-        return_days(silver, "inventory_id", "return_count"),
-        *occupancy_changes(silver),
+        rental_ends(silver, "inventory_id", "rental_count", "return_count", "open_rentals")
     ]
-    dense = INVENTORY_DAY.build(inventory_days(silver, as_of, calendar), dimension, parts, as_of)
+    bounded = inventory_days(silver, as_of, calendar)
+    dense = INVENTORY_DAY.build(bounded, dimension, parts, as_of, cluster)
     return dense.select(
         "inventory_sk",
         "date_key",

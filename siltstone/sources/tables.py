@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -74,16 +74,20 @@ class TableStore:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths).select(*schema.names)
 
+    def row_count(self, table: str) -> int:
+        """Rows of the table, as counted while they were written; reads no data."""
+        return sum(p["rows"] for p in self._manifest(table)["parts"])
+
     # -- writing ---------------------------------------------------------
 
     def _write_part(
-        self, table: str, rows: DataFrame, partition_by: Sequence[str]
-    ) -> tuple[str, int]:
+        self, table: str, rows: DataFrame, partition_by: Sequence[str], batch: str | None = None
+    ) -> dict:
         folder = f"part-{uuid.uuid4().hex}"
         seen = Observation(folder)
         counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
         counted.write.partitionBy(*partition_by).parquet(f"{self.root}/{table}/{folder}")
-        return folder, seen.get["rows"]
+        return {"dir": folder, "batch": batch, "rows": seen.get["rows"]}
 
     def append(
         self,
@@ -104,17 +108,32 @@ class TableStore:
             schema = StructType.fromJson(manifest["schema"])
             parts = manifest["parts"]
             rows = align(rows, schema)
-        folder, count = self._write_part(table, rows, partition_by)
-        if count:
+        part = self._write_part(table, rows, partition_by, batch)
+        if part["rows"]:
             kept = [p for p in parts if batch is None or p["batch"] != batch]
-            self._commit(table, schema, [*kept, {"dir": folder, "batch": batch}])
-        return count
+            self._commit(table, schema, [*kept, part])
+        return part["rows"]
 
     def replace(self, table: str, rows: DataFrame, partition_by: Sequence[str] = ()) -> int:
         """Full refresh; an empty result does empty the table."""
-        folder, count = self._write_part(table, rows, partition_by)
-        self._commit(table, rows.schema, [{"dir": folder, "batch": None}] if count else [])
-        return count
+        part = self._write_part(table, rows, partition_by)
+        self._commit(table, rows.schema, [part] if part["rows"] else [])
+        return part["rows"]
+
+    def replace_in_two(
+        self, table: str, first: DataFrame, then: Callable[[DataFrame], DataFrame]
+    ) -> tuple[int, int]:
+        """Full refresh in two writes and one commit.
+
+        ``then`` gets the rows of the first write, read back, and gives the
+        rest of the table. What the second half needs of the first is thereby
+        computed once.
+        """
+        part = self._write_part(table, first, ())
+        written = self.spark.read.schema(first.schema).parquet(f"{self.root}/{table}/{part['dir']}")
+        rest = self._write_part(table, align(then(written), first.schema), ())
+        self._commit(table, first.schema, [p for p in (part, rest) if p["rows"]])
+        return part["rows"], rest["rows"]
 
     def replace_unless_empty(
         self, table: str, rows: DataFrame, partition_by: Sequence[str] = ()
@@ -124,12 +143,12 @@ class TableStore:
         The row count comes from the write itself, so no extra pass is needed
         to find out whether there is anything to write.
         """
-        folder, count = self._write_part(table, rows, partition_by)
-        if count:
-            self._commit(table, rows.schema, [{"dir": folder, "batch": None}])
+        part = self._write_part(table, rows, partition_by)
+        if part["rows"]:
+            self._commit(table, rows.schema, [part])
         elif not self.exists(table):
             self._commit(table, rows.schema, [])
-        return count
+        return part["rows"]
 
     def vacuum(self, table: str, keep: int = 2, min_age_hours: float = 24) -> int:
         """Delete directories that none of the ``keep`` newest manifests lists.
