@@ -2,8 +2,8 @@
 
 A join of entities with a date table on ``>=`` and ``<=`` has no equality to
 hash on, and Spark would compare each entity with each date. With a gap-free
-calendar the same rows come from one ``sequence`` per entity: no shuffle, and
-the work is proportional to the output.
+calendar the same rows come from one ``sequence`` per entity: no comparison, and
+the work is proportional to the output, spread over all tasks.
 """
 
 from __future__ import annotations
@@ -62,9 +62,22 @@ def spine_bounds(
     )
 
 
+def partitions(rows: DataFrame) -> int:
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Hash rows into as many partitions as the session shuffles into.
+
+    What follows expands each row into many. A fixed number of partitions
+    keeps adaptive execution from packing the rows by their size before that.
+    """
+    return rows.repartition(partitions(rows), *keys)
+
+
 def spine(bounded: DataFrame, step: str, period: str) -> DataFrame:
     """One row per entity and period."""
-    return bounded.withColumn(
+    return spread(bounded, *bounded.columns).withColumn(
         period, F.explode(steps(F.col("first_period"), F.col("last_period"), step))
     ).drop("first_period", "last_period")
 

@@ -18,7 +18,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from siltstone.operators.calendar import previous, steps
+from siltstone.operators.calendar import partitions, previous, spread, steps
 
 
 def contribution(
@@ -76,8 +76,8 @@ def densify(
     """Expand stretches over the spans; measures count in their own period only.
 
     ``cluster_by_month`` brings the rows of a month together. Stretches are cut
-    at month ends and moved before they are expanded, and a month too large
-    for one task is split at run time.
+    at month ends and range-partitioned before they are expanded; the entity
+    takes part in the ranges, so a full month spreads over several tasks.
     """
     first = F.greatest("first_period", "period")
     last = F.least("last_period", previous(F.col("next_period"), step))
@@ -86,7 +86,8 @@ def densify(
     )
     kept = [c for c in spans.columns if c not in ("first_period", "last_period")]
     met = (
-        spans.join(active, entity)
+        spread(spans, entity)
+        .join(active, entity)
         .where(overlap)
         .select(*kept, "period", *measures, *carried, first.alias("_first"), last.alias("_last"))
     )
@@ -96,8 +97,8 @@ def densify(
             met.withColumn("_month", F.explode(months))
             .withColumn("_first", F.greatest("_first", "_month"))
             .withColumn("_last", F.least("_last", F.last_day("_month")))
-            .hint("rebalance", F.col("_month"))
         )
+        met = met.repartitionByRange(partitions(met), "_month", entity)
     expanded = met.withColumn(period, F.explode(steps(F.col("_first"), F.col("_last"), step)))
     own_period = F.col(period) == F.col("period")
     return expanded.select(

@@ -8,7 +8,8 @@ and earlier layers are read back from the store, so no step repeats another.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -34,6 +35,31 @@ from siltstone.sources.tables import TableStore
 AUDIT_TABLE = "audit.etl_audit"
 Results = dict[str, object]
 
+# Tables loaded side by side unless a caller says otherwise.
+PARALLEL = 4
+
+
+def _each(names: Iterable[str], load: Callable[[str], object], parallel: int) -> Results:
+    """Load tables that do not depend on one another, some at a time.
+
+    One small table cannot fill a cluster; Spark runs the jobs of several
+    driver threads side by side.
+    """
+    names = list(names)
+    with ThreadPoolExecutor(parallel) as pool:
+        return dict(zip(names, pool.map(load, names)))
+
+
+def silver_waves() -> list[list[str]]:
+    """Silver tables in groups; each refers to earlier groups only."""
+    waves: list[list[str]] = []
+    done: set[str] = set()
+    while len(done) < len(SPECS):
+        wave = [n for n, s in SPECS.items() if n not in done and done.issuperset(s.parents)]
+        waves.append(wave)
+        done.update(wave)
+    return waves
+
 
 class Layer(Mapping[str, DataFrame]):
     """Tables of one layer of a store, read on access."""
@@ -56,13 +82,15 @@ def silver_layer(store: TableStore) -> Layer:
 
 
 def load_bronze_full(
-    store: TableStore, sources: Mapping[str, DataFrame], as_of: AsOf
+    store: TableStore, sources: Mapping[str, DataFrame], as_of: AsOf, parallel: int = PARALLEL
 ) -> Results:
     """Replace each Bronze table by its source; an empty source changes nothing."""
-    return {
-        name: store.replace_unless_empty(f"bronze.{name}", full_extract(source, as_of))
-        for name, source in sources.items()
-    }
+
+    def load(name: str) -> int:
+        rows = full_extract(sources[name], as_of)
+        return store.replace_unless_empty(f"bronze.{name}", rows)
+
+    return _each(sources, load, parallel)
 
 
 def load_bronze_delta(
@@ -71,41 +99,51 @@ def load_bronze_delta(
     until: dt.datetime,
     as_of: AsOf,
     batch: str | None = None,
+    parallel: int = PARALLEL,
 ) -> Results:
     """Append what changed since each table's watermark, up to and including ``until``."""
-    results: Results = {}
-    for name, source in sources.items():
+
+    def load(name: str) -> int:
         table = f"bronze.{name}"
         after = last_watermark(store.read(table))
-        results[name] = store.append(table, delta_extract(source, after, until, as_of), batch)
-    return results
+        return store.append(table, delta_extract(sources[name], after, until, as_of), batch)
 
+    return _each(sources, load, parallel)
 
-def load_silver(store: TableStore, as_of: AsOf) -> Results:
+
+def load_silver(store: TableStore, as_of: AsOf, parallel: int = PARALLEL) -> Results:
     """Rebuild Silver parents first, then the profiles."""
-    results: Results = {}
     silver = silver_layer(store)
-    for name, spec in SPECS.items():
+
+    def load(name: str) -> dict[str, int]:
         bronze = f"bronze.{name}"
-        rows = cleanse(store.read(bronze), spec, silver, as_of)
+        rows = cleanse(store.read(bronze), SPECS[name], silver, as_of)
         loaded = store.replace_unless_empty(f"silver.{name}", rows)
-        results[name] = counts(source=store.row_count(bronze), processed=loaded)
-    for name, profile in PROFILES.items():
-        loaded = store.replace_unless_empty(f"silver.{name}", profile(silver, as_of))
-        results[name] = counts(source=0, processed=loaded)
-    return results
+        return counts(source=store.row_count(bronze), processed=loaded)
+
+    def load_profile(name: str) -> dict[str, int]:
+        rows = PROFILES[name](silver, as_of)
+        return counts(source=0, processed=store.replace_unless_empty(f"silver.{name}", rows))
+
+    results: Results = {}
+    for wave in silver_waves():
+        results |= _each(wave, load, parallel)
+    return results | _each(PROFILES, load_profile, parallel)
 
 
-def load_dimensions(store: TableStore, on_duplicate: str = "keep_all") -> Results:
+def load_dimensions(
+    store: TableStore, on_duplicate: str = "keep_all", parallel: int = PARALLEL
+) -> Results:
     """Merge each profile into its dimension.
 
     Closed versions are written first and read back for the inserts, so the
     comparison with the profile runs once. As in the audit's definition, a
     merge reports the profile's rows and no inserts.
     """
-    results: Results = {}
     silver = silver_layer(store)
-    for name, (spec, source) in DIMENSIONS.items():
+
+    def load(name: str) -> dict[str, int]:
+        spec, source = DIMENSIONS[name]
         profile = one_row_per_key(silver[source], spec, on_duplicate)
         table = f"gold.{name}"
         if store.exists(table):
@@ -115,24 +153,28 @@ def load_dimensions(store: TableStore, on_duplicate: str = "keep_all") -> Result
         store.replace_in_two(
             table,
             close_changed(dimension, profile, spec),
-            lambda versions, p=profile, s=spec: new_versions(versions, p, s),
+            lambda versions: new_versions(versions, profile, spec),
         )
         rows = store.row_count(f"silver.{source}")
-        results[name] = counts(source=rows, processed=rows, inserted=0)
-    return results
+        return counts(source=rows, processed=rows, inserted=0)
+
+    return _each(DIMENSIONS, load, parallel)
 
 
-def load_facts(store: TableStore, as_of: AsOf, calendar: Calendar = Calendar()) -> Results:
+def load_facts(
+    store: TableStore, as_of: AsOf, calendar: Calendar = Calendar(), parallel: int = PARALLEL
+) -> Results:
     """Rebuild the calendar and the facts; expected rows come from the spine bounds."""
-    results: Results = {}
     silver = silver_layer(store)
     store.replace("gold.dim_date", dim_date(store.spark, calendar))
-    for name, (fact, dimension, bounds, step) in FACTS.items():
+
+    def load(name: str) -> dict[str, int]:
+        fact, dimension, bounds, step = FACTS[name]
         expected = spine_size(bounds(silver, as_of, calendar), step).first()[0]
         rows = fact(silver, store.read(f"gold.{dimension}"), as_of, calendar, cluster=True)
-        loaded = store.replace(f"gold.{name}", rows)
-        results[name] = counts(source=expected, processed=loaded)
-    return results
+        return counts(source=expected, processed=store.replace(f"gold.{name}", rows))
+
+    return _each(FACTS, load, parallel)
 
 
 def audited(
