@@ -28,9 +28,15 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder, or a local one where none is named (tests)."""
+    """The shared folder the session names in ``spark.checkpoint.dir``.
+
+    Only a local session may go without; it gets a folder of its own, which
+    executors on other machines could not read.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         folder = tempfile.mkdtemp(prefix="siltstone-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
