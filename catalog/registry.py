@@ -304,7 +304,7 @@ def _rerun(w: Warehouse) -> DataFrame:
     return checks.state_difference(before, scd2_merge(before, w.profile(source), spec))
 
 
-def _builders() -> dict[str, Callable[[Warehouse], DataFrame]]:
+def builders() -> dict[str, Callable[[Warehouse], DataFrame]]:
     found: dict[str, Callable[[Warehouse], DataFrame]] = {}
     for t in SOURCE_TABLES:
         found[f"bronze_full_{t}"] = lambda w, t=t: w.bronze_full(t)
@@ -377,4 +377,4 @@ def registered() -> dict[str, Query]:
     def bind(build: Callable[[Warehouse], DataFrame]) -> Query:
         return lambda spark, folder: comparable(build(warehouse(spark, folder)))
 
-    return {name: bind(build) for name, build in _builders().items()}
+    return {name: bind(build) for name, build in builders().items()}

@@ -214,7 +214,8 @@ def inventory_status(
     """Item x day with ``is_utilised`` 0 or 1."""
     bounded = inventory_days(silver, as_of, calendar)
     ends = rental_ends(silver, "inventory_id", "rental_count", "return_count", "open_rentals")
-    parts = _until([ends.select("inventory_id", "period", "open_rentals")], as_of)
+    ends = ends.select("inventory_id", "period", "open_rentals")
+    parts = _within([ends], as_of, calendar, ("open_rentals",))
     active = stretches(bounded, parts, "inventory_id", (), ("open_rentals",))
     dense = densify(bounded, active, "inventory_id", DAY, "full_date", (), ("open_rentals",))
     return dense.select(
@@ -229,9 +230,26 @@ def _utilised() -> Column:
 # -- facts --------------------------------------------------------------------
 
 
-def _until(parts: Sequence[DataFrame], as_of: AsOf) -> list[DataFrame]:
-    """Activity after today is in no spine; drop it at the scan."""
-    return [p.where(F.col("period") <= as_of.date) for p in parts]
+def _within(
+    parts: Sequence[DataFrame], as_of: AsOf, calendar: Calendar, carried: Sequence[str] = ()
+) -> list[DataFrame]:
+    """Drop activity outside all spines before it is shuffled.
+
+    Changes of a carried column from before the calendar still count from its
+    first day on; they move there, so they collapse into one row per entity.
+    """
+    first = F.lit(calendar.first)
+    inside = F.col("period") >= first
+    found = []
+    for part in parts:
+        part = part.where(F.col("period") <= as_of.date)
+        if not set(carried).intersection(part.columns):
+            found.append(part.where(inside))
+            continue
+        entity, *rest = [c for c in part.columns if c != "period"]
+        columns = [F.col(c) if c in carried else F.when(inside, F.col(c)).alias(c) for c in rest]
+        found.append(part.select(entity, F.greatest("period", first).alias("period"), *columns))
+    return found
 
 
 def _or_zero(column: str, kind: str) -> Column:
@@ -259,11 +277,11 @@ class DenseFact:
         dimension: DataFrame,
         parts: Sequence[DataFrame],
         as_of: AsOf,
+        calendar: Calendar,
         cluster: bool,
     ) -> DataFrame:
-        active = stretches(
-            bounded, _until(parts, as_of), self.entity, self.measures, self.carried
-        )
+        parts = _within(parts, as_of, calendar, self.carried)
+        active = stretches(bounded, parts, self.entity, self.measures, self.carried)
         spans = version_spans(bounded, dimension, self.business_key, self.surrogate, self.step)
         spans = spans.select(self.entity, self.surrogate, "first_period", "last_period")
         return densify(
@@ -323,7 +341,7 @@ def fact_customer_daily_activity(
         ticket_days(silver),
     ]
     bounded = customer_days(silver, as_of, calendar)
-    dense = CUSTOMER_DAY.build(bounded, dimension, parts, as_of, cluster)
+    dense = CUSTOMER_DAY.build(bounded, dimension, parts, as_of, calendar, cluster)
     return dense.select(
         "customer_sk",
         "date_key",
@@ -351,7 +369,7 @@ def fact_content_monthly_performance(
         wishlist_months(silver),
     ]
     bounded = content_months(silver, as_of, calendar)
-    dense = CONTENT_MONTH.build(bounded, dimension, parts, as_of, cluster)
+    dense = CONTENT_MONTH.build(bounded, dimension, parts, as_of, calendar, cluster)
     return dense.withColumn("average_customer_rating", average_rating()).select(
         "content_sk",
         "date_key",
@@ -374,7 +392,7 @@ def fact_inventory_daily_utilization(
         rental_ends(silver, "inventory_id", "rental_count", "return_count", "open_rentals")
     ]
     bounded = inventory_days(silver, as_of, calendar)
-    dense = INVENTORY_DAY.build(bounded, dimension, parts, as_of, cluster)
+    dense = INVENTORY_DAY.build(bounded, dimension, parts, as_of, calendar, cluster)
     return dense.select(
         "inventory_sk",
         "date_key",

@@ -138,7 +138,8 @@ def test_occupancy_of_special_rentals(rows_of):
 
 @pytest.mark.parametrize("cluster", [False, True])
 @pytest.mark.parametrize("seed", range(3))
-def test_inventory_fact_follows_the_definition(rows_of, seed, cluster):
+@pytest.mark.parametrize("calendar", [Calendar(), Calendar(first=dt.date(2023, 1, 20))])
+def test_inventory_fact_follows_the_definition(rows_of, seed, cluster, calendar):
     """Every item and day by brute force; a third of the rentals is of one item."""
     rng = random.Random(seed)
     items = [
@@ -154,11 +155,11 @@ def test_inventory_fact_follows_the_definition(rows_of, seed, cluster):
     versions += [("B1", 10, moment(1), cut), ("B1", 11, cut, None), ("B1", 12, moment(9), OPEN)]
     silver = {"inventory_item": rows_of(ITEM, *items), "rental": rows_of(RENTAL, *rentals)}
     fact = facts.fact_inventory_daily_utilization(
-        silver, rows_of(ITEM_DIM, *versions), NOW, cluster=cluster
+        silver, rows_of(ITEM_DIM, *versions), NOW, calendar, cluster
     )
     expected = []
     for i, barcode, bought, _ in items:
-        d = bought or day(1)
+        d = max(bought or day(1), calendar.first)
         while d <= NOW.ts.date():
             end = dt.datetime.combine(d, dt.time.max)
             own = [r for r in rentals if r[2] == i]

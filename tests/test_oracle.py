@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 from catalog.oracle import oracle_queries
-from catalog.registry import _builders, registered, warehouse
+from catalog.registry import builders, registered, warehouse
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, SQL = registered(), oracle_queries()
@@ -64,7 +64,7 @@ def test_no_plan_pairs_rows_without_a_key(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         for name in names:
-            rows = _builders()[name](warehouse(spark, FOLDER))
+            rows = builders()[name](warehouse(spark, FOLDER))
             plan = rows._jdf.queryExecution().executedPlan().toString()
             for unwanted in ("NestedLoop", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
                 assert unwanted not in plan, (name, unwanted)
@@ -74,6 +74,6 @@ def test_no_plan_pairs_rows_without_a_key(spark):
 
 @pytest.mark.parametrize("fact", ["fact_customer_daily_activity", "fact_inventory_daily_utilization"])
 def test_dense_rows_are_never_shuffled(spark, fact):
-    rows = _builders()[fact](warehouse(spark, FOLDER))
+    rows = builders()[fact](warehouse(spark, FOLDER))
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan[: plan.index("Generate explode")]
