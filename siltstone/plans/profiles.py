@@ -38,13 +38,19 @@ def customer_profile(silver: Mapping[str, DataFrame], as_of: AsOf) -> DataFrame:
         "updated_at",
         "source_system",
     )
+    # Cities learn their country first, so addresses take part in one join.
+    places = (
+        silver["city"]
+        .select("city_id", "city_name", "country_id")
+        .join(silver["country"].select("country_id", "country_name"), "country_id", "left")
+        .drop("country_id")
+    )
     homes = (
         silver["customer_address"]
         .where("address_type = 'HOME'")
         .select("customer_id", "city_id")
-        .join(silver["city"].select("city_id", "city_name", "country_id"), "city_id", "left")
-        .join(silver["country"].select("country_id", "country_name"), "country_id", "left")
-        .select("customer_id", "city_name", "country_name")
+        .join(places, "city_id", "left")
+        .drop("city_id")
     )
     # A left join cannot split a customer that has very many addresses, an
     # inner join can; the rest of the customers come from an anti join on

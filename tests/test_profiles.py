@@ -1,0 +1,79 @@
+from __future__ import annotations
+
+import datetime as dt
+
+from siltstone.functions.dates import AsOf
+from siltstone.plans.profiles import content_profile, customer_profile, inventory_item_profile
+
+NOW = AsOf(dt.datetime(2024, 3, 31))
+TIMES = "created_at timestamp_ntz, updated_at timestamp_ntz, source_system string"
+STAMP = (dt.datetime(2023, 1, 1), dt.datetime(2023, 2, 1), "S")
+
+
+def test_homes_multiply_customers_and_their_absence_does_not_drop_them(rows_of):
+    silver = {
+        "customer": rows_of(
+            "customer_id bigint, customer_no string, first_name string, last_name string,"
+            f" email string, date_of_birth date, status string, {TIMES}",
+            *[(i, f"C{i}", "A", "B", None, dt.date(2000, 3, 31), "ACTIVE", *STAMP) for i in (1, 2, 3, 4)],
+        ),
+        "customer_address": rows_of(
+            "customer_id bigint, city_id bigint, address_type string",
+            (1, 10, "WORK"),
+            (2, 10, "HOME"),
+            (3, 10, "HOME"),
+            (3, 11, "HOME"),
+            (4, None, "HOME"),
+        ),
+        "city": rows_of("city_id bigint, country_id bigint, city_name string", (10, 1, "X"), (11, 9, "Y")),
+        "country": rows_of("country_id bigint, country_name string", (1, "L")),
+    }
+    found = customer_profile(silver, NOW).collect()
+    assert sorted(((r.customer_id, r.city_name, r.country_name) for r in found), key=str) == [
+        (1, None, None),
+        (2, "X", "L"),
+        (3, "X", "L"),
+        (3, "Y", None),
+        (4, None, None),
+    ]
+    assert {(r.full_name, r.age, r.updated_at, r.load_timestamp) for r in found} == {
+        ("A B", 24, STAMP[1], NOW.ts)
+    }
+
+
+def test_primary_genre_is_the_lowest_known_one(rows_of):
+    silver = {
+        "content": rows_of(
+            f"content_id bigint, content_type_id bigint, title string, release_date date, {TIMES}",
+            (1, 1, "a", dt.date(2020, 5, 1), *STAMP),
+            (2, 9, "b", None, *STAMP),
+        ),
+        "content_type": rows_of("content_type_id bigint, content_type string", (1, "Film")),
+        "content_genre": rows_of("content_id bigint, genre_id bigint", (1, 1), (1, 3), (1, 2)),
+        "genre": rows_of("genre_id bigint, genre_name string", (2, "Two"), (3, "Three")),
+    }
+    found = {r.content_id: r for r in content_profile(silver, NOW).collect()}
+    first, second = found[1], found[2]
+    assert (first.primary_genre, first.content_type_name, first.release_year) == ("Two", "Film", 2020)
+    assert (second.primary_genre, second.content_type_name, second.release_year) == (None, None, None)
+
+
+def test_items_keep_their_row_without_parents(rows_of):
+    silver = {
+        "inventory_item": rows_of(
+            "inventory_id bigint, content_id bigint, warehouse_id bigint, barcode string,"
+            f" item_condition string, {TIMES}",
+            (1, 1, 1, "A", "GOOD", *STAMP),
+            (2, 9, 2, "B", "WORN", *STAMP),
+        ),
+        "content": rows_of("content_id bigint, title string", (1, "T")),
+        "warehouse": rows_of(
+            "warehouse_id bigint, city_id bigint, warehouse_name string", (1, 10, "W"), (2, None, None)
+        ),
+        "city": rows_of("city_id bigint, city_name string", (10, "X")),
+    }
+    found = sorted(inventory_item_profile(silver, NOW).collect())
+    assert [(r.content_title, r.warehouse_name, r.warehouse_city) for r in found] == [
+        ("T", "W", "X"),
+        (None, None, None),
+    ]
