@@ -9,17 +9,28 @@ KICKS = 200
 
 
 class Cuckoo:
-    """Buckets of four 16-bit fingerprints. Never misses a key that was inserted and not deleted."""
+    """Buckets of four 16-bit fingerprints, and a stash of whole keys for which no room was found.
+
+    Never misses a key that was inserted and not deleted.
+    """
 
     def __init__(self, bits: int | None = None, data: bytes | None = None):
         if data is None:
+            self.stash = np.zeros(0, np.uint64)
             self.table = np.zeros((1 << bits, SLOTS), np.uint16)
         else:
-            self.table = np.frombuffer(data, np.uint16).reshape(-1, SLOTS).copy()
+            stashed = int(np.frombuffer(data, np.uint64, 1)[0])
+            self.stash = np.frombuffer(data, np.uint64, stashed, 8).copy()
+            self.table = np.frombuffer(data, np.uint16, -1, 8 + 8 * stashed).reshape(-1, SLOTS).copy()
         self.mask = np.uint64(len(self.table) - 1)
 
+    @staticmethod
+    def bits_for(keys: int) -> int:
+        """Buckets, as a power of two, for so many keys at a load of 80 percent."""
+        return max(1, int(keys / (SLOTS * 0.8)).bit_length())
+
     def to_bytes(self) -> bytes:
-        return self.table.tobytes()
+        return np.uint64(len(self.stash)).tobytes() + self.stash.tobytes() + self.table.tobytes()
 
     @staticmethod
     def _prints(hashes: np.ndarray) -> np.ndarray:
@@ -36,7 +47,8 @@ class Cuckoo:
     def contains(self, hashes: np.ndarray) -> np.ndarray:
         prints, first, second = self._places(hashes)
         wanted = prints[:, None]
-        return (self.table[first] == wanted).any(1) | (self.table[second] == wanted).any(1)
+        found = (self.table[first] == wanted).any(1) | (self.table[second] == wanted).any(1)
+        return found | np.isin(hashes, self.stash) if len(self.stash) else found
 
     def _fill(self, prints: np.ndarray, buckets: np.ndarray) -> np.ndarray:
         """Put fingerprints into free slots of their buckets, many at once; says which found none."""
@@ -53,16 +65,16 @@ class Cuckoo:
         left[order[placed]] = False
         return left
 
-    def insert(self, hashes: np.ndarray) -> np.ndarray:
-        """Insert distinct keys; returns those for which there is no room."""
+    def insert(self, hashes: np.ndarray) -> None:
+        """Insert distinct keys."""
         if not len(hashes):
-            return hashes
+            return
         prints, first, second = self._places(hashes)
         left = np.flatnonzero(self._fill(prints, first))
         if len(left):
             left = left[self._fill(prints[left], second[left])]
         failed = [k for k in left.tolist() if not self._kick(int(prints[k]), int(second[k]))]
-        return hashes[failed]
+        self.stash = np.concatenate((self.stash, hashes[failed]))
 
     def _kick(self, mark: int, bucket: int) -> bool:
         """Move others to their second buckets to make room; undone if that leads nowhere."""
@@ -76,50 +88,21 @@ class Cuckoo:
             slot = (mark + step) % SLOTS
             moves.append((bucket, slot, int(row[slot])))
             mark, row[slot] = int(row[slot]), mark
-            bucket = int(self._other(np.uint64(bucket), np.uint64(mark)))
+            bucket = int(self._other(np.array([bucket], np.uint64), np.array([mark], np.uint64))[0])
         for bucket, slot, old in reversed(moves):
             self.table[bucket, slot] = old
         return False
 
     def delete(self, hashes: np.ndarray) -> np.ndarray:
         """Remove one fingerprint for each key; says which were found. Only for keys that were inserted."""
-        found = np.zeros(len(hashes), bool)
+        found = np.isin(hashes, self.stash)
+        self.stash = self.stash[~np.isin(self.stash, hashes)]
         prints, first, second = self._places(hashes)
         for k, (mark, a, b) in enumerate(zip(prints.tolist(), first.tolist(), second.tolist(), strict=True)):
-            for bucket in (a, b):
+            for bucket in () if found[k] else (a, b):
                 at = np.flatnonzero(self.table[bucket] == mark)
                 if len(at):
                     self.table[bucket, at[0]] = 0
                     found[k] = True
                     break
         return found
-
-
-class Segments:
-    """A filter that grows: when a segment is full, a larger one is added."""
-
-    def __init__(self, bits: int = 10, largest: int = 22):
-        self.parts: list[Cuckoo] = []
-        self.bits, self.largest = bits, largest
-
-    def insert(self, hashes: np.ndarray) -> None:
-        # A fingerprint already there (another key's) doesn't replace an insertion: deletion must stay possible.
-        while len(hashes):
-            if self.parts:
-                room = int((self.parts[-1].table == 0).sum() - self.parts[-1].table.size // 20)
-                if room > 0:
-                    hashes = np.concatenate((hashes[room:], self.parts[-1].insert(hashes[:room])))
-                    if not len(hashes):
-                        return
-            grown = min(self.largest, max(self.bits + len(self.parts), int(len(hashes) // 3).bit_length()))
-            self.parts.append(Cuckoo(grown))
-
-    def delete(self, hashes: np.ndarray) -> None:
-        for part in reversed(self.parts):
-            hashes = hashes[~part.delete(hashes)]
-
-    def contains(self, hashes: np.ndarray) -> np.ndarray:
-        found = np.zeros(len(hashes), bool)
-        for part in self.parts:
-            found |= part.contains(hashes)
-        return found

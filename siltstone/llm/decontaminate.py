@@ -218,5 +218,5 @@ def decontaminate(docs: DataFrame, items: DataFrame, action: str = "documents",
         raise ValueError(f"unknown action: {action}")
     clean = _without(F.col("_row.text"), F.col("runs"))
     return found.withColumn("_clean", clean).select(
-        *[F.col("_clean").alias(c) if c == "text" else F.col("_row")[c] for c in docs.columns]
+        *[F.col("_clean").alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns]
     )

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.llm.common import small_batches
-from siltstone.llm.cuckoo import Cuckoo, Segments
+from siltstone.llm.cuckoo import Cuckoo
 from siltstone.session import shared_folder
 
 BLANK = "\t\n\x0b\f\r "
@@ -110,14 +110,12 @@ class LineIndex:
 
     def insert(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> LineIndex:
         new = self.version + 1
-        added = self._save(new, "added", key_rows(docs, key, text, self.shards, self.min_chars))
+        rows = key_rows(docs, key, text, self.shards, self.min_chars)
+        added = self._save(new, "added" if self.version else "references", rows)
         counts = self._counted(added)
         if self.version == 0:
             counts = self._save(new, "counts", counts)
-            entering = counts.where(F.col("n_docs") >= self.min_docs)
-            changes = entering.select("shard", "key", F.lit(_INSERT).alias("turn"))
-            self._save(new, "filters", self._maintained(None, changes))
-            self._save_references(new, added)
+            self._save(new, "filters", self._filters(counts, None, None))
         else:
             before = self.table("counts").withColumn("old", F.col("n_docs"))
             merged = (
@@ -151,50 +149,60 @@ class LineIndex:
 
     def _replace(self, new: int, merged: DataFrame, references: DataFrame) -> None:
         merged = self._save(new, "merged", merged)
-        self._save(new, "counts", merged.where("n_docs > 0").drop("old"))
-        self._save_references(new, references)
+        counts = self._save(new, "counts", merged.where("n_docs > 0").drop("old"))
+        self._save(new, "references", references)
         many, had = F.col("n_docs") >= self.min_docs, F.col("old") >= self.min_docs
         changes = merged.where(many != had).select(
             "shard", "key", F.when(many, _INSERT).otherwise(_DELETE).alias("turn")
         )
-        self._save(new, "filters", self._maintained(self.table("filters"), changes))
-
-    def _save_references(self, new: int, references: DataFrame) -> None:
-        self._save(new, "references", references)
-
-    def _maintained(self, filters: DataFrame | None, changes: DataFrame) -> DataFrame:
-        """The filters after deletions and insertions; a shard's segments stream in before its changes."""
-        rows = changes.select("shard", "turn", "key", F.lit(None).cast("binary").alias("data"))
-        if filters is not None:
-            old = filters.select("shard", F.lit(0).alias("turn"), F.lit(None).cast("binary").alias("key"), "data")
-            rows = old.unionByName(rows)
+        self._save(new, "filters", self._filters(counts, self.table("filters"), changes))
+
+    def _filters(self, counts: DataFrame, old: DataFrame | None, changes: DataFrame | None) -> DataFrame:
+        """The filters of all shards: brought up to date where there is room, else built anew from the exact table.
+
+        A shard's filter streams in before its deletions and insertions; memory holds one filter and one batch.
+        """
+        repeated = counts.where(F.col("n_docs") >= self.min_docs)
+        sizes = repeated.groupBy("shard").agg(F.count("*").alias("size"))
+        no_key, no_data = F.lit(None).cast("binary").alias("key"), F.lit(None).cast("binary").alias("data")
+        every = repeated.join(sizes, "shard").select("shard", "size", F.lit(_INSERT).alias("turn"), "key", no_data)
+        if old is None:
+            rows = every
+        else:
+            # A row per shard, so these tables are as short as the number of shards.
+            fits = old.join(sizes, "shard", "left").where(F.col("capacity") >= F.coalesce("size", F.lit(0)))
+            room = fits.select("shard", F.coalesce("size", F.lit(0)).alias("size"))
+            kept = fits.select("shard", F.coalesce("size", F.lit(0)).alias("size"), F.lit(0).alias("turn"), no_key, "data")
+            updates = changes.join(room, "shard").select("shard", "size", "turn", "key", no_data)
+            rows = kept.unionByName(updates).unionByName(every.join(room, "shard", "left_anti"))
 
         def maintain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: tuple[int, Segments] | None = None
+            held: tuple[int, Cuckoo] | None = None
 
-            def packed(shard: int, filter_: Segments) -> pa.RecordBatch:
-                data = [p.to_bytes() for p in filter_.parts]
-                return pa.RecordBatch.from_arrays(
-                    [pa.array([shard] * len(data), pa.int32()), pa.array(data, pa.binary())], names=["shard", "data"]
-                )
+            def packed(shard: int, filter_: Cuckoo) -> pa.RecordBatch:
+                capacity = int(filter_.table.size * 0.8)
+                columns = [pa.array([shard], pa.int32()), pa.array([capacity], pa.int64())]
+                data = pa.array([filter_.to_bytes()], pa.binary())
+                return pa.RecordBatch.from_arrays([*columns, data], names=["shard", "capacity", "data"])
 
             for batch in batches:
                 for shard, turn, part in _runs(batch):
+                    if turn == 0:
+                        if held:
+                            yield packed(*held)
+                        held = shard, Cuckoo(data=part.column("data")[0].as_py())
+                        continue
                     if held is None or held[0] != shard:
                         if held:
                             yield packed(*held)
-                        held = shard, Segments()
-                    if turn == 0:
-                        held[1].parts += [Cuckoo(data=d) for d in part.column("data").to_pylist()]
-                    elif turn == _DELETE:
-                        held[1].delete(_words(part.column("key")))
-                    else:
-                        held[1].insert(_words(part.column("key")))
+                        held = shard, Cuckoo(Cuckoo.bits_for(part.column("size")[0].as_py()))
+                    change = held[1].delete if turn == _DELETE else held[1].insert
+                    change(_words(part.column("key")))
             if held:
                 yield packed(*held)
 
         ordered = rows.repartition("shard").sortWithinPartitions("shard", "turn")
-        return ordered.mapInArrow(maintain, "shard int, data binary")
+        return ordered.mapInArrow(maintain, "shard int, capacity bigint, data binary")
 
     def candidates(self, rows: DataFrame, salts: int = SALTS) -> DataFrame:
         """The (doc, key, shard) rows whose key is in the filter of its shard, or looks so."""
@@ -207,14 +215,12 @@ class LineIndex:
         names = ["doc", "key", "shard"]
 
         def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: tuple[tuple, Segments] | None = None
+            held: tuple[tuple, Cuckoo] | None = None
             for batch in batches:
                 for group, turn, part in _runs(batch, ("shard", "salt")):
-                    if held is None or held[0] != group:
-                        held = group, Segments()
                     if turn == 0:
-                        held[1].parts += [Cuckoo(data=d) for d in part.column("data").to_pylist()]
-                    elif held[1].parts:
+                        held = group, Cuckoo(data=part.column("data")[0].as_py())
+                    elif held and held[0] == group:
                         passed = held[1].contains(_words(part.column("key")))
                         if passed.any():
                             yield part.select(names).filter(pa.array(passed))

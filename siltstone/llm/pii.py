@@ -308,10 +308,11 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Counts of base spans by kind, a digest of the base spans, and all spans written out."""
     found = find(docs, key, text)
-    counts = [
-        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}")
-        for k, name in enumerate(BASE)
-    ]
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(BASE)]
     return found.select(
         key,
         *counts,

@@ -169,7 +169,7 @@ def convert(arcs: DataFrame, with_payload: bool = True) -> DataFrame:
                     if header["url"].startswith("filedesc:"):
                         continue
                     http, payload, kind = b"", block, "resource"
-                    if header["url"].startswith(("http:", "https:", "about:")) and block.startswith(b"HTTP/"):
+                    if block.startswith(b"HTTP/"):
                         cut = block.find(b"\r\n\r\n")
                         cut = len(block) if cut < 0 else cut + 4
                         http, payload, kind = block[:cut], block[cut:], "response"
