@@ -8,10 +8,11 @@ and earlier layers are read back from the store, so no step repeats another.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from siltstone.functions.dates import AsOf, Calendar
 from siltstone.operators.audit import (
@@ -22,14 +23,14 @@ from siltstone.operators.audit import (
     run_record,
     task_results,
 )
-from siltstone.operators.calendar import dim_date, spine_size
+from siltstone.operators.calendar import dim_date, spanning, spine_size
 from siltstone.operators.cleanse import cleanse
 from siltstone.operators.scd2 import close_changed, new_versions, one_row_per_key
 from siltstone.plans.dimensions import DIMENSIONS, empty_dimension
 from siltstone.plans.facts import FACTS
 from siltstone.plans.profiles import PROFILES
 from siltstone.plans.silver import SPECS
-from siltstone.sources.extract import delta_extract, full_extract, last_watermark
+from siltstone.sources.extract import EPOCH, delta_extract, full_extract
 from siltstone.sources.tables import TableStore
 
 AUDIT_TABLE = "audit.etl_audit"
@@ -39,15 +40,34 @@ Results = dict[str, object]
 PARALLEL = 4
 
 
-def _each(names: Iterable[str], load: Callable[[str], object], parallel: int) -> Results:
+class PartlyFailed(Exception):
+    """Some tables could not be loaded; ``results`` has those that were."""
+
+    def __init__(self, results: Results, errors: Mapping[str, BaseException]):
+        super().__init__("; ".join(f"{name}: {error}" for name, error in errors.items()))
+        self.results, self.errors = dict(results), dict(errors)
+
+
+def _try_each(
+    names: Iterable[str], load: Callable[[str], object], parallel: int
+) -> tuple[Results, dict[str, BaseException]]:
     """Load tables that do not depend on one another, some at a time.
 
     One small table cannot fill a cluster; Spark runs the jobs of several
-    driver threads side by side.
+    driver threads side by side. A table that fails doesn't hide the others.
     """
     names = list(names)
     with ThreadPoolExecutor(parallel) as pool:
-        return dict(zip(names, pool.map(load, names)))
+        waiting = {name: pool.submit(load, name) for name in names}
+    errors = {name: f.exception() for name, f in waiting.items() if f.exception()}
+    return {name: f.result() for name, f in waiting.items() if name not in errors}, errors
+
+
+def _each(names: Iterable[str], load: Callable[[str], object], parallel: int) -> Results:
+    results, errors = _try_each(names, load, parallel)
+    if errors:
+        raise PartlyFailed(results, errors) from next(iter(errors.values()))
+    return results
 
 
 def silver_waves() -> list[list[str]]:
@@ -82,12 +102,16 @@ def silver_layer(store: TableStore) -> Layer:
 
 
 def load_bronze_full(
-    store: TableStore, sources: Mapping[str, DataFrame], as_of: AsOf, parallel: int = PARALLEL
+    store: TableStore,
+    sources: Mapping[str, DataFrame],
+    as_of: AsOf,
+    source_system: str,
+    parallel: int = PARALLEL,
 ) -> Results:
     """Replace each Bronze table by its source; an empty source changes nothing."""
 
     def load(name: str) -> int:
-        rows = full_extract(sources[name], as_of)
+        rows = full_extract(sources[name], as_of, source_system)
         return store.replace_unless_empty(f"bronze.{name}", rows)
 
     return _each(sources, load, parallel)
@@ -98,21 +122,37 @@ def load_bronze_delta(
     sources: Mapping[str, DataFrame],
     until: dt.datetime,
     as_of: AsOf,
+    source_system: str,
     batch: str | None = None,
     parallel: int = PARALLEL,
 ) -> Results:
-    """Append what changed since each table's watermark, up to and including ``until``."""
+    """Append what changed since each table's watermark, up to and including ``until``.
+
+    The watermark comes from the manifest, not from the table. A repeated batch
+    begins where it began before, so it holds at least what it replaces. A table
+    without rows, or without a full load so far, takes everything.
+    """
+
+    def start(table: str) -> dt.datetime:
+        if not store.exists(table):
+            return EPOCH
+        begun = store.batch_start(table, batch) if batch else None
+        return begun or store.watermark(table) or EPOCH
 
     def load(name: str) -> int:
         table = f"bronze.{name}"
-        after = last_watermark(store.read(table))
-        return store.append(table, delta_extract(sources[name], after, until, as_of), batch)
+        after = start(table)
+        rows = delta_extract(sources[name], after, until, as_of, source_system)
+        return store.append(table, rows, batch, after=after)
 
     return _each(sources, load, parallel)
 
 
 def load_silver(store: TableStore, as_of: AsOf, parallel: int = PARALLEL) -> Results:
-    """Rebuild Silver parents first, then the profiles."""
+    """Rebuild Silver parents first, then the profiles.
+
+    What refers to a table that failed is not built on its old content but skipped.
+    """
     silver = silver_layer(store)
 
     def load(name: str) -> dict[str, int]:
@@ -126,9 +166,19 @@ def load_silver(store: TableStore, as_of: AsOf, parallel: int = PARALLEL) -> Res
         return counts(source=0, processed=store.replace_unless_empty(f"silver.{name}", rows))
 
     results: Results = {}
+    errors: dict[str, BaseException] = {}
     for wave in silver_waves():
-        results |= _each(wave, load, parallel)
-    return results | _each(PROFILES, load_profile, parallel)
+        ready = [n for n in wave if not errors.keys() & set(SPECS[n].parents)]
+        for name in set(wave) - set(ready):
+            errors[name] = RuntimeError("skipped: a table it refers to has failed")
+        done, failed = _try_each(ready, load, parallel)
+        results, errors = results | done, errors | failed
+    if errors:
+        raise PartlyFailed(results, errors)
+    done, errors = _try_each(PROFILES, load_profile, parallel)
+    if errors:
+        raise PartlyFailed(results | done, errors)
+    return results | done
 
 
 def load_dimensions(
@@ -138,7 +188,8 @@ def load_dimensions(
 
     Closed versions are written first and read back for the inserts, so the
     comparison with the profile runs once. As in the audit's definition, a
-    merge reports the profile's rows and no inserts.
+    merge reports the profile's rows and no inserts; the real numbers of new and
+    closed versions come along under names of their own.
     """
     silver = silver_layer(store)
 
@@ -150,22 +201,31 @@ def load_dimensions(
             dimension = store.read(table)
         else:
             dimension = empty_dimension(profile, spec)
-        store.replace_in_two(
+        seen = Observation()
+        versions = close_changed(dimension.withColumn("_was", F.col("is_current")), profile, spec, "_was")
+        closed = F.count_if(F.col("_was") & ~F.col("is_current"))
+        _, inserted = store.replace_in_two(
             table,
-            close_changed(dimension, profile, spec),
+            versions.observe(seen, closed.alias("closed")).drop("_was"),
             lambda versions: new_versions(versions, profile, spec),
         )
         rows = store.row_count(f"silver.{source}")
-        return counts(source=rows, processed=rows, inserted=0)
+        extra = {"new_versions": inserted, "closed_versions": seen.get["closed"]}
+        return counts(source=rows, processed=rows, inserted=0) | extra
 
     return _each(DIMENSIONS, load, parallel)
 
 
 def load_facts(
-    store: TableStore, as_of: AsOf, calendar: Calendar = Calendar(), parallel: int = PARALLEL
+    store: TableStore, as_of: AsOf, calendar: Calendar | None = None, parallel: int = PARALLEL
 ) -> Results:
-    """Rebuild the calendar and the facts; expected rows come from the spine bounds."""
+    """Rebuild the calendar and the facts; expected rows come from the spine bounds.
+
+    Without a given calendar it reaches from the first period of any spine to ``as_of``.
+    """
     silver = silver_layer(store)
+    if calendar is None:
+        calendar = spanning(as_of, *[bounds(silver, as_of) for _, _, bounds, _ in FACTS.values()])
     store.replace("gold.dim_date", dim_date(store.spark, calendar))
 
     def load(name: str) -> dict[str, int]:
@@ -187,13 +247,19 @@ def audited(
 ) -> Results:
     """Run ``load`` between opening and closing its audit record.
 
-    A task without a result, or a load that raises, leaves the record Failed.
+    A task without a result, or a load that raises, leaves the record Failed, with
+    the counts of those that did report. A run is one batch of the audit table: closing
+    replaces its own record and touches no other, and so does repeating it.
     """
     results: Results = dict.fromkeys(tasks)
-    store.append(AUDIT_TABLE, open_runs(run_record(store.spark, *run, start)), "|".join(run))
+    opened, batch = open_runs(run_record(store.spark, *run, start)), json.dumps(run)
+    store.append(AUDIT_TABLE, opened, batch)
     try:
         results.update(load())
+    except PartlyFailed as failure:
+        results.update(dict.fromkeys(failure.errors) | failure.results)
+        raise
     finally:
         totals = roll_up(task_results(store.spark, run, results))
-        store.replace(AUDIT_TABLE, close_runs(store.read(AUDIT_TABLE), totals, end()))
+        store.append(AUDIT_TABLE, close_runs(opened, totals, end()), batch)
     return results

@@ -8,20 +8,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from siltstone.functions.dates import AsOf, ntz
 
-# Lineage label and the watermark of an empty target.
-SOURCE_SYSTEM = "ABC_HUB_OLTP"
+# Fixed value: the watermark of an empty target.
 EPOCH = dt.datetime(1900, 1, 1)
 
 
-def _with_lineage(source: DataFrame, as_of: AsOf) -> DataFrame:
+def _with_lineage(source: DataFrame, as_of: AsOf, source_system: str) -> DataFrame:
     return source.withColumns(
-        {"load_timestamp": as_of.timestamp, "source_system": F.lit(SOURCE_SYSTEM)}
+        {"load_timestamp": as_of.timestamp, "source_system": F.lit(source_system)}
     )
 
 
-def full_extract(source: DataFrame, as_of: AsOf) -> DataFrame:
+def full_extract(source: DataFrame, as_of: AsOf, source_system: str) -> DataFrame:
     """Every source row plus lineage. There is no upper bound on change times."""
-    return _with_lineage(source, as_of)
+    return _with_lineage(source, as_of, source_system)
 
 
 def watermark(target: DataFrame) -> DataFrame:
@@ -53,7 +52,7 @@ def changed_between(after: dt.datetime, until: dt.datetime) -> Column:
 
 
 def delta_extract(
-    source: DataFrame, after: dt.datetime, until: dt.datetime, as_of: AsOf
+    source: DataFrame, after: dt.datetime, until: dt.datetime, as_of: AsOf, source_system: str
 ) -> DataFrame:
     """Rows changed in ``(after, until]``; consecutive windows never overlap."""
-    return _with_lineage(source.where(changed_between(after, until)), as_of)
+    return _with_lineage(source.where(changed_between(after, until)), as_of, source_system)

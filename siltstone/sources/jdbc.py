@@ -49,10 +49,13 @@ def read_table(
     url: str,
     table: str,
     connection: Mapping[str, str],
-    split: Split | None = None,
+    split: Split | None,
     fetch_size: int = 10_000,
 ) -> DataFrame:
-    """A source table; filters on it (see ``changed_between``) run in the database."""
+    """A source table; filters on it (see ``changed_between``) run in the database.
+
+    To read a table in a single task, ``None`` has to be written out.
+    """
     options = read_options(url, table, connection, split, fetch_size)
     return spark.read.format("jdbc").options(**options).load()
 

@@ -5,11 +5,20 @@ directories in its newest manifest, and adding a manifest is the commit. A
 lost executor or a failed job therefore leaves the old content in place, a
 plan may read the table it is about to replace, and a reader that has started
 keeps its files until ``vacuum``.
+
+A commit holds for the version its writer has read: of two writers, the one that
+comes second appends to what the first has committed, or fails if it was to
+replace the table. A manifest is written under another name and renamed. On HDFS the
+rename fails if the version exists; on a local file system this is made sure
+of within one process only; an object store would need a conditional put.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
+import re
+import threading
 import time
 import uuid
 from collections.abc import Callable, Sequence
@@ -18,6 +27,16 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
+# The change times whose newest values a part keeps, for the watermark.
+CHANGE_TIMES = ("created_at", "updated_at")
+_MANIFEST = re.compile(r"[0-9]{12}\.json")
+_renaming = threading.Lock()
+
+
+class ConcurrentWrite(RuntimeError):
+    """Somebody else has committed to the table since it was read."""
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -36,7 +55,12 @@ class TableStore:
         folder = self._path(table, "_manifest")
         if not self._fs.exists(folder):
             return []
-        return sorted(int(f.getPath().getName()[:-5]) for f in self._fs.listStatus(folder))
+        names = [f.getPath().getName() for f in self._fs.listStatus(folder)]
+        return sorted(int(n[:-5]) for n in names if _MANIFEST.fullmatch(n))
+
+    def _newest(self, table: str) -> int:
+        """The version a writer starts from; 0 if there is no table yet."""
+        return (self._versions(table) or [0])[-1]
 
     def _manifest(self, table: str, version: int | None = None) -> dict:
         versions = self._versions(table)
@@ -51,15 +75,21 @@ class TableStore:
             stream.close()
         return json.loads(text)
 
-    def _commit(self, table: str, schema: StructType, parts: list[dict]) -> None:
-        version = (self._versions(table) or [0])[-1] + 1
-        # create() without overwrite: of two writers that race, one fails.
-        stream = self._fs.create(self._path(table, "_manifest", f"{version:012d}.json"), False)
+    def _commit(self, table: str, base: int, schema: StructType, parts: list[dict]) -> None:
+        """Make ``parts`` the content that follows version ``base``, or raise ``ConcurrentWrite``."""
+        target = self._path(table, "_manifest", f"{base + 1:012d}.json")
+        draft = self._path(table, "_manifest", f"_{uuid.uuid4().hex}")
+        stream = self._fs.create(draft, False)
         try:
             body = json.dumps({"schema": schema.jsonValue(), "parts": parts})
             stream.write(bytearray(body, "utf-8"))
         finally:
             stream.close()
+        with _renaming:
+            if not self._fs.exists(target) and self._fs.rename(draft, target):
+                return
+        self._fs.delete(draft, False)
+        raise ConcurrentWrite(f"{table} has changed since version {base}")
 
     # -- reading ---------------------------------------------------------
 
@@ -78,16 +108,36 @@ class TableStore:
         """Rows of the table, as counted while they were written; reads no data."""
         return sum(p["rows"] for p in self._manifest(table)["parts"])
 
+    def watermark(self, table: str) -> dt.datetime | None:
+        """The newest change time in the table, as seen while it was written; reads no data."""
+        found = [p[c] for p in self._manifest(table)["parts"] for c in CHANGE_TIMES if p.get(c)]
+        return dt.datetime.fromisoformat(max(found)) if found else None
+
+    def batch_start(self, table: str, batch: str) -> dt.datetime | None:
+        """Where the window of a batch began when it was first appended."""
+        starts = [p.get("after") for p in self._manifest(table)["parts"] if p["batch"] == batch]
+        return dt.datetime.fromisoformat(min(starts)) if starts and all(starts) else None
+
     # -- writing ---------------------------------------------------------
 
     def _write_part(
-        self, table: str, rows: DataFrame, partition_by: Sequence[str], batch: str | None = None
+        self,
+        table: str,
+        rows: DataFrame,
+        partition_by: Sequence[str],
+        batch: str | None = None,
+        after: dt.datetime | None = None,
     ) -> dict:
+        texts = [f.name for f in rows.schema if f.name in partition_by and f.dataType.simpleString() == "string"]
+        if texts:
+            raise ValueError(f"folders cannot tell an empty text from NULL: {texts}")
         folder = f"part-{uuid.uuid4().hex}"
         seen = Observation(folder)
-        counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+        times = [F.max(c).cast("string").alias(c) for c in CHANGE_TIMES if c in rows.columns]
+        counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *times)
         counted.write.partitionBy(*partition_by).parquet(f"{self.root}/{table}/{folder}")
-        return {"dir": folder, "batch": batch, "rows": seen.get["rows"]}
+        start = after.isoformat(sep=" ") if after else None
+        return {"dir": folder, "batch": batch, "after": start, **seen.get}
 
     def append(
         self,
@@ -95,29 +145,39 @@ class TableStore:
         rows: DataFrame,
         batch: str | None = None,
         partition_by: Sequence[str] = (),
+        after: dt.datetime | None = None,
     ) -> int:
         """Add rows and keep what is there; nothing is committed for an empty input.
 
         With ``batch``, repeating a batch replaces its earlier rows instead of
-        doubling them.
+        doubling them. ``after`` is the start of the batch's window, which a
+        repeat must begin from again (``batch_start``), or it would replace rows
+        that it doesn't hold.
         """
-        parts: list[dict] = []
-        schema = rows.schema
-        if self.exists(table):
-            manifest = self._manifest(table)
-            schema = StructType.fromJson(manifest["schema"])
-            parts = manifest["parts"]
-            rows = align(rows, schema)
-        part = self._write_part(table, rows, partition_by, batch)
-        if part["rows"]:
-            kept = [p for p in parts if batch is None or p["batch"] != batch]
-            self._commit(table, schema, [*kept, part])
-        return part["rows"]
+        base, schema, part = self._newest(table), rows.schema, None
+        while True:
+            manifest = self._manifest(table, base) if base else {"parts": []}
+            if base and part is None:
+                schema = StructType.fromJson(manifest["schema"])
+                rows = align(rows, schema)
+            elif base and manifest["schema"] != schema.jsonValue():
+                raise ConcurrentWrite(f"the columns of {table} have changed")
+            if part is None:
+                part = self._write_part(table, rows, partition_by, batch, after)
+                if not part["rows"]:
+                    return 0
+            kept = [p for p in manifest["parts"] if batch is None or p["batch"] != batch]
+            try:
+                self._commit(table, base, schema, [*kept, part])
+                return part["rows"]
+            except ConcurrentWrite:
+                base = self._newest(table)
 
     def replace(self, table: str, rows: DataFrame, partition_by: Sequence[str] = ()) -> int:
         """Full refresh; an empty result does empty the table."""
+        base = self._newest(table)
         part = self._write_part(table, rows, partition_by)
-        self._commit(table, rows.schema, [part] if part["rows"] else [])
+        self._commit(table, base, rows.schema, [part] if part["rows"] else [])
         return part["rows"]
 
     def replace_in_two(
@@ -129,10 +189,11 @@ class TableStore:
         rest of the table. What the second half needs of the first is thereby
         computed once.
         """
+        base = self._newest(table)
         part = self._write_part(table, first, ())
         written = self.spark.read.schema(first.schema).parquet(f"{self.root}/{table}/{part['dir']}")
         rest = self._write_part(table, align(then(written), first.schema), ())
-        self._commit(table, first.schema, [p for p in (part, rest) if p["rows"]])
+        self._commit(table, base, first.schema, [p for p in (part, rest) if p["rows"]])
         return part["rows"], rest["rows"]
 
     def replace_unless_empty(
@@ -143,17 +204,19 @@ class TableStore:
         The row count comes from the write itself, so no extra pass is needed
         to find out whether there is anything to write.
         """
+        base = self._newest(table)
         part = self._write_part(table, rows, partition_by)
         if part["rows"]:
-            self._commit(table, rows.schema, [part])
-        elif not self.exists(table):
-            self._commit(table, rows.schema, [])
+            self._commit(table, base, rows.schema, [part])
+        elif not base:
+            self._commit(table, base, rows.schema, [])
         return part["rows"]
 
-    def vacuum(self, table: str, keep: int = 2, min_age_hours: float = 24) -> int:
+    def vacuum(self, table: str, keep: int = 2, min_age_hours: float = 168) -> int:
         """Delete directories that none of the ``keep`` newest manifests lists.
 
-        Young directories stay: a running load may be about to commit them.
+        Young directories stay: a running load may be about to commit them. The
+        age must exceed the longest load by far.
         """
         newest = self._versions(table)[-keep:]
         live = {p["dir"] for v in newest for p in self._manifest(table, v)["parts"]}

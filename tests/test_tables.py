@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
 from siltstone.sources import TableStore
+from siltstone.sources.tables import ConcurrentWrite
 
 
 @pytest.fixture
@@ -37,6 +41,49 @@ def test_repeating_a_batch_replaces_it(store, rows_of):
     assert store.row_count("t") == 2
 
 
+def test_two_writers_lose_nothing(store, rows_of, monkeypatch):
+    """A second writer commits between the first one's read and its commit."""
+    store.append("t", rows_of("a bigint", (0,)))
+    write = TableStore._write_part
+
+    def interrupted(self, table, rows, *rest):
+        part = write(self, table, rows, *rest)
+        monkeypatch.setattr(TableStore, "_write_part", write)
+        self.append(table, rows_of("a bigint", (100,)), batch="other")
+        return part
+
+    monkeypatch.setattr(TableStore, "_write_part", interrupted)
+    store.append("t", rows_of("a bigint", (10,)), batch="own")
+    assert content(store) == [(0,), (10,), (100,)]
+    monkeypatch.setattr(TableStore, "_write_part", interrupted)
+    with pytest.raises(ConcurrentWrite):
+        store.replace("t", rows_of("a bigint", (5,)))
+    assert content(store) == [(0,), (10,), (100,)]
+
+
+def test_many_writers_at_once(store, rows_of):
+    frames = [rows_of("a bigint", (n,)) for n in range(8)]
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda rows: store.append("t", rows), frames))
+    assert content(store) == [(n,) for n in range(8)]
+
+
+def test_watermark_comes_from_the_manifest(store, rows_of):
+    schema = "a bigint, created_at timestamp_ntz, updated_at timestamp_ntz"
+    early, late = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2, 3, 4, 5, 600)
+    store.append("t", rows_of(schema, (1, None, None)))
+    assert store.watermark("t") is None
+    store.append("t", rows_of(schema, (2, early, None), (3, early, late)), batch="b", after=early)
+    assert store.watermark("t") == late
+    assert store.batch_start("t", "b") == early
+    assert store.batch_start("t", "c") is None
+
+
+def test_text_is_no_partition_column(store, rows_of):
+    with pytest.raises(ValueError, match="empty text"):
+        store.replace("t", rows_of("a bigint, s string", (1, "")), partition_by=["s"])
+
+
 def test_empty_replacement(store, rows_of):
     some, none = rows_of("a bigint", (1,)), rows_of("a bigint")
     assert store.replace_unless_empty("t", some) == 1
