@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from catalog import textbook  # noqa: E402
-from catalog.registry import LOADS, NOW, builders, warehouse  # noqa: E402
+from catalog.registry import LOADS, NOW, SOURCE_SYSTEM, builders, warehouse  # noqa: E402
 from catalog.shapes import SOURCE_TABLES  # noqa: E402
 from siltstone.operators.calendar import DAY, spine  # noqa: E402
 from siltstone.plans import facts, loads  # noqa: E402
@@ -77,10 +77,10 @@ def load_times(spark: SparkSession) -> dict[str, float]:
     second = {t: w.source(t, 2) for t in SOURCE_TABLES}
     day_two = dt.datetime(2024, 3, 31)
     return {
-        "load_bronze_full": timed(lambda: loads.load_bronze_full(store, first, LOADS[1])),
+        "load_bronze_full": timed(lambda: loads.load_bronze_full(store, first, LOADS[1], SOURCE_SYSTEM)),
         "load_silver_first": timed(lambda: loads.load_silver(store, LOADS[1])),
         "load_dimensions_first": timed(lambda: loads.load_dimensions(store)),
-        "load_bronze_delta": timed(lambda: loads.load_bronze_delta(store, second, day_two, NOW)),
+        "load_bronze_delta": timed(lambda: loads.load_bronze_delta(store, second, day_two, NOW, SOURCE_SYSTEM)),
         "load_silver_second": timed(lambda: loads.load_silver(store, NOW)),
         "load_dimensions_second": timed(lambda: loads.load_dimensions(store)),
         "load_facts": timed(lambda: loads.load_facts(store, NOW)),

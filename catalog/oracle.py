@@ -310,7 +310,7 @@ def _source_relations() -> None:
         for n, later in ((1, False), (2, True)):
             RELATIONS[f"source{n}_{table}"] = shape_sql(table, later, "TIMESTAMP").format(**names)
     for table in SOURCE_TABLES:
-        lineage = "CAST({} AS TIMESTAMP) AS load_timestamp, 'ABC_HUB_OLTP' AS source_system"
+        lineage = "CAST({} AS TIMESTAMP) AS load_timestamp, 'SOURCE_OLTP' AS source_system"
         RELATIONS[f"bronze1_{table}"] = (
             f"SELECT *, {lineage.format(FIRST_LOAD)} FROM source1_{table}"
         )
@@ -437,9 +437,13 @@ def dimension_columns(name: str) -> tuple[str, ...]:
     return (surrogate, key, *tracked, *periods, "created_at", "updated_at", "source_system")
 
 
+def _key_part(column: str) -> str:
+    text = f"CAST({column} AS VARCHAR)"
+    return f"coalesce(length({text}) || ':' || {text}, 'N')"
+
+
 def _version_key(key: str, tracked: tuple[str, ...]) -> str:
-    parts = [f"CAST({key} AS VARCHAR)", "CAST(effective_from AS VARCHAR)"]
-    parts += [f"coalesce(CAST({c} AS VARCHAR), '~')" for c in tracked]
+    parts = [_key_part(c) for c in (key, "effective_from", *tracked)]
     half = f"CAST(('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 16)) AS UBIGINT)"
     wide = f"CAST({half} AS HUGEINT)"
     return (
@@ -489,11 +493,24 @@ def _gold_relations() -> None:
     for name in _DIMENSIONS:
         RELATIONS[f"dim1_{name}"] = _merge_sql(name, None, f"profile1_{name}")
         RELATIONS[f"dim2_{name}"] = _merge_sql(name, f"dim1_{name}", f"profile2_{name}")
+        key, tracked = _DIMENSIONS[name][1:3]
+        order = ", ".join(f"{c} ASC NULLS FIRST" for c in (*tracked, "created_at"))
+        for n in (1, 2):
+            RELATIONS[f"latest_profile{n}_{name}"] = f"""
+                SELECT * FROM profile{n}_{name} QUALIFY {key} IS NULL
+                    OR row_number() OVER (PARTITION BY {key} ORDER BY updated_at DESC NULLS LAST, {order}) = 1"""
+        RELATIONS[f"latest1_{name}"] = _merge_sql(name, None, f"latest_profile1_{name}")
+        RELATIONS[f"latest2_{name}"] = _merge_sql(name, f"latest1_{name}", f"latest_profile2_{name}")
         RELATIONS[f"dim3_{name}"] = _merge_sql(name, f"dim2_{name}", f"profile2_{name}")
     RELATIONS["calendar"] = """
         SELECT CAST(d AS DATE) AS full_date, CAST(strftime(d, '%Y%m%d') AS INT) AS date_key,
             CAST(day(d) AS INT) AS day
-        FROM generate_series(DATE '2015-01-01', DATE '2035-12-31', INTERVAL '1' DAY) AS g(d)"""
+        FROM generate_series(
+            (SELECT min(d) FROM (SELECT DATE '2023-01-01' AS d
+                UNION ALL SELECT min(registration_date) FROM silver2_customer
+                UNION ALL SELECT min(purchase_date) FROM silver2_inventory_item)),
+            (SELECT max(d) FROM (SELECT CAST(TIMESTAMP '2024-03-31 00:00:00' AS DATE) AS d
+                UNION ALL SELECT max(rental_date) FROM silver2_rental)), INTERVAL '1' DAY) AS g(d)"""
     today = f"CAST({SECOND_LOAD} AS DATE)"
     RELATIONS["customer_days"] = f"""
         SELECT customer_id, customer_no, date_key, full_date FROM silver2_customer
@@ -644,7 +661,8 @@ _COUNTS = (
 
 
 def _audit_id() -> str:
-    half = "CAST(('0x' || substr(md5(concat_ws('|', batch_id, dag_id, run_id)), 1, 16)) AS UBIGINT)"
+    parts = ", ".join(map(_key_part, ("batch_id", "dag_id", "run_id")))
+    half = f"CAST(('0x' || substr(md5(concat_ws('|', {parts})), 1, 16)) AS UBIGINT)"
     wide = f"CAST({half} AS HUGEINT)"
     return (
         f"CAST(CASE WHEN {wide} >= 9223372036854775808"
@@ -739,20 +757,28 @@ def _check_sql() -> dict[str, str]:
         f" FROM {layer}_{t}"
         for layer, t in tables
     )
-    columns = dimension_columns("customer")
-    plain = ", ".join(columns)
+    grain, rerun = [], []
+    for d, fact in (("customer", "daily_activity"), ("content", "monthly_performance"), ("inventory_item", "daily_utilization")):
+        surrogate, key, _, _ = _DIMENSIONS[d]
+        short = d.split("_")[0]
+        grain.append(f"""
+            SELECT 'fact_{short}_{fact}' AS fact, {surrogate} AS version_key, date_key,
+                CAST(count(*) AS BIGINT) AS row_count
+            FROM fact_{short} GROUP BY {surrogate}, date_key HAVING count(*) > 1""")
+        plain = ", ".join(dimension_columns(d))
+        rerun.append(f"""
+            SELECT 'dim_{d}' AS dimension, {surrogate} AS version_key, CAST({key} AS VARCHAR) AS business_key,
+                CAST(effective_from AS VARCHAR) AS effective_from, CAST(effective_to AS VARCHAR) AS effective_to,
+                is_current, CAST(sum(side) AS BIGINT) AS surplus FROM (
+                SELECT {plain}, -1 AS side FROM dim2_{d}
+                UNION ALL SELECT {plain}, 1 AS side FROM dim3_{d}
+            ) AS sides GROUP BY {plain} HAVING sum(side) <> 0""")
     return {
-        "check_fact_grain": """
-            SELECT customer_sk, date_key, CAST(count(*) AS BIGINT) AS row_count
-            FROM fact_customer GROUP BY 1, 2 HAVING count(*) > 1""",
+        "check_fact_grain": " UNION ALL ".join(grain),
         "check_scd2_versions": versions,
         "check_scd2_intervals": " UNION ALL ".join(intervals),
         "check_row_counts": counts,
-        "check_rerun_equal": f"""
-            SELECT {', '.join(map(_column, columns))}, CAST(sum(side) AS BIGINT) AS surplus FROM (
-                SELECT {plain}, -1 AS side FROM dim2_customer
-                UNION ALL SELECT {plain}, 1 AS side FROM dim3_customer
-            ) AS sides GROUP BY {plain} HAVING sum(side) <> 0""",
+        "check_rerun_equal": " UNION ALL ".join(rerun),
     }
 
 
@@ -789,12 +815,14 @@ def oracle_queries() -> dict[str, str]:
         )
     )
     queries["bronze_append"] = rows_of("bronze2_rental", (*COLUMNS["rental"], *LINEAGE))
+    queries["bronze_append_rerun"] = queries["bronze_append"]
     queries["replace_unless_empty"] = rows_of("silver2_content", (*COLUMNS["content"], *LINEAGE))
     for name, columns in PROFILE_COLUMNS.items():
         queries[f"profile_{name}"] = rows_of(f"profile2_{name}", (*columns, *LINEAGE))
     for name in _DIMENSIONS:
         queries[f"dim_{name}"] = rows_of(f"dim1_{name}", dimension_columns(name))
         queries[f"dim_{name}_second_load"] = rows_of(f"dim2_{name}", dimension_columns(name))
+        queries[f"dim_{name}_latest"] = rows_of(f"latest2_{name}", dimension_columns(name))
     queries["scd2_changes"] = with_relations(_change_sql())
     queries["dim_date"] = with_relations(
         "SELECT date_key, CAST(full_date AS VARCHAR) AS full_date, day FROM calendar"
@@ -839,6 +867,8 @@ def oracle_queries() -> dict[str, str]:
     }
     for name, (relation, columns) in plain.items():
         queries[name] = rows_of(relation, tuple(columns.split()))
+    refreshed = f"SELECT *, CAST(0 AS INT) AS rows_after_empty_refresh FROM ({queries['fact_customer_daily_activity']})"
+    queries["fact_refresh"] = refreshed
     for name, sql in {**_audit_sql(), **_check_sql()}.items():
         queries[name] = with_relations(sql)
     return queries

@@ -16,7 +16,7 @@ from siltstone.operators.calendar import DAY, MONTH, dim_date, spine, spine_size
 from siltstone.operators.cleanse import cleanse
 from siltstone.operators.densify import sum_contributions
 from siltstone.operators.scd2 import scd2_changes, scd2_merge
-from siltstone.plans import facts
+from siltstone.plans import facts, loads
 from siltstone.plans.dimensions import DIMENSIONS, empty_dimension
 from siltstone.plans.profiles import PROFILES
 from siltstone.plans.silver import SPECS
@@ -25,6 +25,8 @@ from siltstone.sources import TableStore, delta_extract, full_extract, last_wate
 
 LOADS = {1: AsOf(dt.datetime(2024, 3, 1)), 2: AsOf(dt.datetime(2024, 3, 31))}
 NOW = LOADS[2]
+# The label that the extracts of the given tables carry.
+SOURCE_SYSTEM = "SOURCE_OLTP"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -71,12 +73,13 @@ class Warehouse:
         return self.spark.sql(sql, **used)
 
     def bronze_full(self, name: str) -> DataFrame:
-        return full_extract(self.source(name, 1), LOADS[1])
+        return full_extract(self.source(name, 1), LOADS[1], SOURCE_SYSTEM)
 
     def bronze_delta(self, name: str) -> DataFrame:
         if name not in self._watermarks:
             self._watermarks[name] = last_watermark(self.bronze_full(name))
-        return delta_extract(self.source(name, 2), self._watermarks[name], NOW.ts, NOW)
+        after = self._watermarks[name]
+        return delta_extract(self.source(name, 2), after, NOW.ts, NOW, SOURCE_SYSTEM)
 
     def bronze(self, name: str, load: int) -> DataFrame:
         full = self.bronze_full(name)
@@ -119,11 +122,22 @@ class Warehouse:
         return facts.FACTS[fact][2](self.silver(), NOW)
 
 
-_warehouses: dict[tuple[str, str], Warehouse] = {}
+_warehouses: dict[tuple, Warehouse] = {}
+
+
+def _files(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of the files below ``folder``: other input, other key."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    files = []
+    while found.hasNext():
+        status = found.next()
+        files.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return tuple(sorted(files))
 
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    key = (spark.sparkContext.applicationId, folder)
+    key = (spark.sparkContext.applicationId, folder, _files(spark, folder))
     if key not in _warehouses:
         _warehouses[key] = Warehouse(spark, folder)
     return _warehouses[key]
@@ -137,6 +151,8 @@ def comparable(rows: DataFrame) -> DataFrame:
             return F.col(name).cast("string").alias(name)
         if kind.startswith("decimal"):
             return F.col(name).cast("double").alias(name)
+        if name == "average_customer_rating":
+            return F.round(name, 6).alias(name)
         return F.col(name)
 
     return rows.select(*[column(name, kind) for name, kind in rows.dtypes])
@@ -171,6 +187,31 @@ def _append(w: Warehouse) -> DataFrame:
     return store.read("bronze.rental")
 
 
+def _append_rerun(w: Warehouse) -> DataFrame:
+    """A batch, the same batch again after the source has grown, and an empty repeat of it."""
+    store, sources = _store(w), {"rental": w.source("rental", 2)}
+    early = {"rental": sources["rental"].where("rental_id % 3 <> 0")}
+    loads.load_bronze_full(store, {"rental": w.source("rental", 1)}, LOADS[1], SOURCE_SYSTEM)
+    for source in (early, sources, sources):
+        loads.load_bronze_delta(store, source, NOW.ts, NOW, SOURCE_SYSTEM, batch="day 2")
+    return store.read("bronze.rental")
+
+
+def _fact_refresh(w: Warehouse) -> DataFrame:
+    """Facts and dimensions refreshed over an older content, an empty one and in two writes."""
+    store, name = _store(w), "fact_customer_daily_activity"
+    fact = w.fact(name)
+    store.replace(name, fact.where("date_key % 2 = 0"))
+    store.replace(name, fact.where("false"))
+    emptied = store.row_count(name)
+    store.replace_in_two(
+        name,
+        fact.where("date_key < 20240101"),
+        lambda first: fact.join(first.select("date_key").distinct(), "date_key", "left_anti"),
+    )
+    return store.read(name).withColumn("rows_after_empty_refresh", F.lit(emptied))
+
+
 def _replace_unless_empty(w: Warehouse) -> DataFrame:
     """An empty refresh after a filled one: the table keeps its rows."""
     store = _store(w)
@@ -182,6 +223,14 @@ def _replace_unless_empty(w: Warehouse) -> DataFrame:
 # -- dimensions --------------------------------------------------------------
 
 
+def _latest(w: Warehouse, name: str) -> DataFrame:
+    """Two loads that keep one profile row per business key."""
+    spec, source = DIMENSIONS[name]
+    first, second = w.profile(source, 1), w.profile(source, 2)
+    before = w.keep(f"{name}_latest1", lambda: scd2_merge(empty_dimension(first, spec), first, spec, "latest"))
+    return scd2_merge(before, second, spec, "latest")
+
+
 def _changes(w: Warehouse) -> DataFrame:
     return _union(
         [
@@ -299,9 +348,32 @@ def _row_counts(w: Warehouse) -> DataFrame:
 
 
 def _rerun(w: Warehouse) -> DataFrame:
-    spec, source = DIMENSIONS["dim_customer"]
-    before = w.dimension("dim_customer")
-    return checks.state_difference(before, scd2_merge(before, w.profile(source), spec))
+    parts = []
+    for name, (spec, source) in DIMENSIONS.items():
+        before = w.dimension(name)
+        found = checks.state_difference(before, scd2_merge(before, w.profile(source), spec))
+        parts.append(
+            found.select(
+                F.lit(name).alias("dimension"),
+                F.col(spec.surrogate).alias("version_key"),
+                F.col(spec.key).cast("string").alias("business_key"),
+                "effective_from",
+                "effective_to",
+                "is_current",
+                "surplus",
+            )
+        )
+    return _union(parts)
+
+
+def _fact_grain(w: Warehouse) -> DataFrame:
+    parts = []
+    for name, (_, dimension, _, _) in facts.FACTS.items():
+        surrogate = DIMENSIONS[dimension][0].surrogate
+        found = checks.repeated_grain(w.fact(name), (surrogate, "date_key"))
+        key = F.col(surrogate).alias("version_key")
+        parts.append(found.select(F.lit(name).alias("fact"), key, "date_key", "row_count"))
+    return _union(parts)
 
 
 def builders() -> dict[str, Callable[[Warehouse], DataFrame]]:
@@ -315,12 +387,15 @@ def builders() -> dict[str, Callable[[Warehouse], DataFrame]]:
     for d in DIMENSIONS:
         found[d] = lambda w, d=d: w.dimension_rows(d, 1)
         found[f"{d}_second_load"] = lambda w, d=d: w.dimension_rows(d, 2)
+        found[f"{d}_latest"] = lambda w, d=d: _latest(w, d)
     for f in facts.FACTS:
         found[f] = lambda w, f=f: w.fact_rows(f)
     by_day, by_month = "activity_date", "month_start"
     found |= {
         "bronze_watermark": _watermarks,
         "bronze_append": _append,
+        "bronze_append_rerun": _append_rerun,
+        "fact_refresh": _fact_refresh,
         "replace_unless_empty": _replace_unless_empty,
         "scd2_changes": _changes,
         "dim_date": _dim_date,
@@ -362,9 +437,7 @@ def builders() -> dict[str, Callable[[Warehouse], DataFrame]]:
         "audit_silver_metrics": _silver_metrics,
         "audit_dim_metrics": _dim_metrics,
         "audit_fact_expected": _fact_expected,
-        "check_fact_grain": lambda w: checks.repeated_grain(
-            w.fact("fact_customer_daily_activity"), ("customer_sk", "date_key")
-        ),
+        "check_fact_grain": _fact_grain,
         "check_scd2_versions": lambda w: _per_dimension(w, checks.version_counts),
         "check_scd2_intervals": lambda w: _per_dimension(w, checks.overlapping_versions),
         "check_row_counts": _row_counts,

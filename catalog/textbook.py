@@ -21,8 +21,9 @@ Silver = Mapping[str, DataFrame]
 
 def customer_days_by_range_join(silver: Silver, as_of: AsOf) -> DataFrame:
     customers = silver["customer"]
-    days = dim_date(customers.sparkSession, Calendar()).where(F.col("full_date") <= as_of.date)
     start = F.coalesce("registration_date", F.lit("2023-01-01").cast("date"))
+    first = customers.select(F.min(start)).first()[0]
+    days = dim_date(customers.sparkSession, Calendar(first, as_of.ts.date()))
     return customers.join(days, F.col("full_date") >= start).select(
         "customer_id", "customer_no", "full_date"
     )

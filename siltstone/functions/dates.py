@@ -39,10 +39,10 @@ class AsOf:
 
 @dataclass(frozen=True)
 class Calendar:
-    """Bounds of the gap-free date dimension; spines never leave them."""
+    """Bounds of the gap-free date dimension; a spine that would leave them is an error."""
 
-    first: dt.date = dt.date(2015, 1, 1)
-    last: dt.date = dt.date(2035, 12, 31)
+    first: dt.date
+    last: dt.date
 
 
 def whole_years(born: Column, on: Column) -> Column:

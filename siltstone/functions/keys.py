@@ -12,8 +12,18 @@ from pyspark.sql import Column, functions as F
 
 
 def surrogate_key(*identity: Column) -> Column:
-    """Signed 64-bit key from the leading half of an MD5 over ``identity``."""
-    text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("~")) for c in identity])
+    """Signed 64-bit key from the leading half of an MD5 over ``identity``.
+
+    Each value goes in with its length, and NULL as a letter, so no two identities
+    make the same text. Two of n keys collide with a probability of n² / 2^65: 3e-8
+    for a million, 3 % for a billion. ``check_fact_grain`` shows a collision.
+    """
+
+    def part(value: Column) -> Column:
+        text = value.cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("N"))
+
+    text = F.concat_ws("|", *map(part, identity))
     return F.conv(F.substring(F.md5(text), 1, 16), 16, -10).cast("bigint")
 
 

@@ -8,8 +8,6 @@ the work is proportional to the output, spread over all tasks.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from siltstone.functions.dates import AsOf, Calendar, date_key
@@ -47,21 +45,38 @@ def dim_date(spark: SparkSession, calendar: Calendar) -> DataFrame:
 
 
 def spine_bounds(
-    entities: DataFrame, start: Column, as_of: AsOf, step: str, calendar: Calendar
+    entities: DataFrame, start: Column, as_of: AsOf, step: str, calendar: Calendar | None = None
 ) -> DataFrame:
-    """Add ``first_period`` and ``last_period``; entities without any are dropped."""
-    first, last = calendar.first, min(as_of.ts.date(), calendar.last)
+    """Add ``first_period`` and ``last_period``; entities without any are dropped.
+
+    A spine is as long as the data says. With a ``calendar`` it must lie within it: a
+    period that the calendar lacks would be missing from a fact without a word.
+    """
+    last = as_of.ts.date()
+    if calendar and last > calendar.last:
+        raise ValueError(f"the calendar ends on {calendar.last}, before {last}")
     if step == MONTH:
         last = last.replace(day=1)
-        if first.day > 1:
-            first = (first.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
+    if calendar:
+        first = calendar.first.replace(day=1) if step == MONTH else calendar.first
+        message = F.concat(
+            F.lit(f"the calendar begins on {calendar.first}, after "), start.cast("string")
+        )
+        start = F.when(start < F.lit(first), F.raise_error(message).cast("date")).otherwise(start)
     return (
-        entities.withColumn("first_period", F.greatest(start, F.lit(first)))
+        entities.withColumn("first_period", start)
         .withColumn("last_period", F.lit(last))
         .where("first_period <= last_period")
     )
 
 
+def spanning(as_of: AsOf, *spines: DataFrame) -> Calendar:
+    """The shortest calendar that holds all spines up to ``as_of``: one least start for each."""
+    starts = [s.agg(F.min("first_period")).first()[0] for s in spines]
+    last = as_of.ts.date()
+    return Calendar(min((d for d in starts if d), default=last), last)
+
+
 def partitions(rows: DataFrame) -> int:
     return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

@@ -114,7 +114,9 @@ def _compare(versions: DataFrame, states: DataFrame, spec: ScdSpec, how: str) ->
     )
 
 
-def close_changed(dimension: DataFrame, profile: DataFrame, spec: ScdSpec) -> DataFrame:
+def close_changed(
+    dimension: DataFrame, profile: DataFrame, spec: ScdSpec, *carried: str
+) -> DataFrame:
     """All existing versions; a current one with newer, different source data is closed.
 
     A change whose ``updated_at`` is NULL or not after ``effective_from`` is
@@ -125,7 +127,7 @@ def close_changed(dimension: DataFrame, profile: DataFrame, spec: ScdSpec) -> Da
         .withColumn("effective_to", F.coalesce("_closes_at", "effective_to"))
         .withColumn("updated_at", F.coalesce("_closes_at", "updated_at"))
         .withColumn("is_current", F.col("is_current") & F.col("_closes_at").isNull())
-        .select(*spec.columns)
+        .select(*spec.columns, *carried)
     )
 
 

@@ -30,14 +30,14 @@ def _fallback() -> Column:
 # -- spines ---------------------------------------------------------------
 
 
-def customer_days(silver: Silver, as_of: AsOf, calendar: Calendar = Calendar()) -> DataFrame:
+def customer_days(silver: Silver, as_of: AsOf, calendar: Calendar | None = None) -> DataFrame:
     """Bounds of customer x day, from registration to today."""
     customers = silver["customer"].select("customer_id", "customer_no", "registration_date")
     start = F.coalesce("registration_date", _fallback())
     return spine_bounds(customers, start, as_of, DAY, calendar).drop("registration_date")
 
 
-def content_months(silver: Silver, as_of: AsOf, calendar: Calendar = Calendar()) -> DataFrame:
+def content_months(silver: Silver, as_of: AsOf, calendar: Calendar | None = None) -> DataFrame:
     """Bounds of title x month, from release (not before the fallback) to this month."""
     titles = silver["content"].select("content_id", "release_date")
     released = F.coalesce(F.trunc("release_date", "MM"), _fallback())
@@ -45,7 +45,7 @@ def content_months(silver: Silver, as_of: AsOf, calendar: Calendar = Calendar())
     return spine_bounds(titles, start, as_of, MONTH, calendar).drop("release_date")
 
 
-def inventory_days(silver: Silver, as_of: AsOf, calendar: Calendar = Calendar()) -> DataFrame:
+def inventory_days(silver: Silver, as_of: AsOf, calendar: Calendar | None = None) -> DataFrame:
     """Bounds of item x day, from purchase to today."""
     items = silver["inventory_item"].where("barcode IS NOT NULL")
     items = items.select("inventory_id", "barcode", "purchase_date")
@@ -157,13 +157,12 @@ def rating_months(silver: Silver) -> DataFrame:
         rated,
         "content_id",
         _month("review_date"),
-        {"rating_sum": F.col("rating").cast("decimal(10,2)"), "rating_count": _count()},
+        {"rating_sum": F.col("rating"), "rating_count": _count()},
     )
 
 
 def average_rating() -> Column:
-    mean = F.col("rating_sum").cast("double") / F.nullif(F.col("rating_count"), F.lit(0))
-    return F.round(mean, 6)
+    return F.col("rating_sum").cast("double") / F.nullif(F.col("rating_count"), F.lit(0))
 
 
 def wishlist_months(silver: Silver) -> DataFrame:
@@ -209,7 +208,7 @@ def rental_ends(
 
 
 def inventory_status(
-    silver: Silver, as_of: AsOf, calendar: Calendar = Calendar()
+    silver: Silver, as_of: AsOf, calendar: Calendar | None = None
 ) -> DataFrame:
     """Item x day with ``is_utilised`` 0 or 1."""
     bounded = inventory_days(silver, as_of, calendar)
@@ -231,18 +230,21 @@ def _utilised() -> Column:
 
 
 def _within(
-    parts: Sequence[DataFrame], as_of: AsOf, calendar: Calendar, carried: Sequence[str] = ()
+    parts: Sequence[DataFrame], as_of: AsOf, calendar: Calendar | None, carried: Sequence[str] = ()
 ) -> list[DataFrame]:
     """Drop activity outside all spines before it is shuffled.
 
     Changes of a carried column from before the calendar still count from its
     first day on; they move there, so they collapse into one row per entity.
     """
-    first = F.lit(calendar.first)
-    inside = F.col("period") >= first
     found = []
     for part in parts:
         part = part.where(F.col("period") <= as_of.date)
+        if calendar is None:
+            found.append(part)
+            continue
+        first = F.lit(calendar.first)
+        inside = F.col("period") >= first
         if not set(carried).intersection(part.columns):
             found.append(part.where(inside))
             continue
@@ -277,7 +279,7 @@ class DenseFact:
         dimension: DataFrame,
         parts: Sequence[DataFrame],
         as_of: AsOf,
-        calendar: Calendar,
+        calendar: Calendar | None,
         cluster: bool,
     ) -> DataFrame:
         parts = _within(parts, as_of, calendar, self.carried)
@@ -331,7 +333,7 @@ def fact_customer_daily_activity(
     silver: Silver,
     dimension: DataFrame,
     as_of: AsOf,
-    calendar: Calendar = Calendar(),
+    calendar: Calendar | None = None,
     cluster: bool = False,
 ) -> DataFrame:
     parts = [
@@ -358,7 +360,7 @@ def fact_content_monthly_performance(
     silver: Silver,
     dimension: DataFrame,
     as_of: AsOf,
-    calendar: Calendar = Calendar(),
+    calendar: Calendar | None = None,
     cluster: bool = False,
 ) -> DataFrame:
     parts = [
@@ -385,7 +387,7 @@ def fact_inventory_daily_utilization(
     silver: Silver,
     dimension: DataFrame,
     as_of: AsOf,
-    calendar: Calendar = Calendar(),
+    calendar: Calendar | None = None,
     cluster: bool = False,
 ) -> DataFrame:
     parts = [

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,30 +27,36 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder the session names in ``spark.checkpoint.dir``.
+    """The folder the session names in ``spark.checkpoint.dir``, which all executors must reach.
 
-    Only a local session may go without; it gets a folder of its own, which
-    executors on other machines could not read.
+    A session that names none gets one beside its tables: the warehouse is shared too.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="siltstone-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stage"
 
 
 class Stage:
     """Intermediate tables written once and read by several plans.
 
     A written table ends the lineage: whatever reads it does not repeat the
-    work behind it, also after an executor is lost.
+    work behind it, also after an executor is lost. Its owner calls ``remove`` (or
+    uses it in a ``with`` block) when nothing reads the tables any more.
     """
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
-        self.root = f"{shared_folder(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+        folder = folder or shared_folder(spark)
+        self.root = f"{folder.rstrip('/')}/stage-{uuid.uuid4().hex}"
+
+    def __enter__(self) -> Stage:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.remove()
+
+    def remove(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def keep(self, name: str, rows: DataFrame) -> DataFrame:
         path = f"{self.root}/{name}"

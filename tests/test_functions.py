@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from siltstone.functions import (
@@ -61,6 +62,14 @@ def test_surrogate_key_is_stable_and_tells_nulls_apart(rows_of):
     assert one == three != two
 
 
+@given(st.lists(st.lists(st.sampled_from([None, "", "a", "|", "N", "~", "1:", ":", "a|1:b"]), min_size=2, max_size=2), min_size=2, max_size=40))
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_surrogate_keys_are_equal_only_for_equal_values(rows_of, pairs):
+    df = rows_of("a string, b string", *map(tuple, pairs))
+    keys = values(df, surrogate_key(F.col("a"), F.col("b")))
+    assert len(set(keys)) == len(set(map(tuple, pairs)))
+
+
 def test_literals_do_not_depend_on_the_session_time_zone(spark):
     as_of = AsOf(dt.datetime(2024, 3, 10, 2, 30))
     zone = spark.conf.get("spark.sql.session.timeZone")
