@@ -86,8 +86,7 @@ def densify(
     )
     kept = [c for c in spans.columns if c not in ("first_period", "last_period")]
     met = (
-        spread(spans, entity)
-        .join(active, entity)
+        spans.join(active, entity)
         .where(overlap)
         .select(*kept, "period", *measures, *carried, first.alias("_first"), last.alias("_last"))
     )
@@ -99,6 +98,9 @@ def densify(
             .withColumn("_last", F.least("_last", F.last_day("_month")))
         )
         met = met.repartitionByRange(partitions(met), "_month", entity)
+    else:
+        # Above the join, so that it can be split and coalesced as its sides turn out.
+        met = spread(met, entity, "_first")
     expanded = met.withColumn(period, F.explode(steps(F.col("_first"), F.col("_last"), step)))
     own_period = F.col(period) == F.col("period")
     return expanded.select(

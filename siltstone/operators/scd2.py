@@ -114,10 +114,8 @@ def _compare(versions: DataFrame, states: DataFrame, spec: ScdSpec, how: str) ->
     )
 
 
-def close_changed(
-    dimension: DataFrame, profile: DataFrame, spec: ScdSpec, *carried: str
-) -> DataFrame:
-    """All existing versions; a current one with newer, different source data is closed.
+def close_changed(dimension: DataFrame, profile: DataFrame, spec: ScdSpec) -> DataFrame:
+    """The given versions; a current one with newer, different source data is closed.
 
     A change whose ``updated_at`` is NULL or not after ``effective_from`` is
     ignored.
@@ -127,32 +125,28 @@ def close_changed(
         .withColumn("effective_to", F.coalesce("_closes_at", "effective_to"))
         .withColumn("updated_at", F.coalesce("_closes_at", "updated_at"))
         .withColumn("is_current", F.col("is_current") & F.col("_closes_at").isNull())
-        .select(*spec.columns, *carried)
+        .select(*spec.columns)
     )
 
 
-def _key_states(versions: DataFrame, spec: ScdSpec) -> DataFrame:
-    """Per key: is a version current, and at which moments have versions ended.
+def _with_key_states(profile: DataFrame, versions: DataFrame, spec: ScdSpec) -> DataFrame:
+    """Tell each profile row whether its key has versions, a current one, and one that ended when the row changed.
 
-    Each load adds at most two distinct ends to a key, so the set stays small.
+    Of the versions only keys and ends are shuffled, and both collapse before that.
     """
-    ended = F.when(~F.col("is_current"), F.col("effective_to"))
-    return (
-        versions.where(F.col(spec.key).isNotNull())
-        .groupBy(F.col(spec.key).alias("_key"))
-        .agg(F.max("is_current").alias("_has_current"), F.collect_set(ended).alias("_ends"))
+    keyed = versions.where(F.col(spec.key).isNotNull())
+    known = keyed.groupBy(F.col(spec.key).alias("_key")).agg(F.max("is_current").alias("_has_current"))
+    ended = keyed.where(~F.col("is_current")).select(
+        F.col(spec.key).alias("_ended_key"), F.col("effective_to").alias("_ended_at")
     )
-
-
-def _with_key_states(profile: DataFrame, versions: DataFrame, spec: ScdSpec) -> DataFrame:
-    states = _key_states(versions, spec)
-    return profile.join(states, profile[spec.key] == states["_key"], "left")
+    same_key = profile[spec.key] == F.col("_key")
+    ended_then = (profile[spec.key] == F.col("_ended_key")) & (profile["updated_at"] == F.col("_ended_at"))
+    return profile.join(known, same_key, "left").join(ended.distinct(), ended_then, "left")
 
 
 _IS_NEW_KEY = "_key IS NULL"
 _IS_NEW_VERSION = (
-    "_key IS NOT NULL AND NOT coalesce(_has_current, false)"
-    " AND coalesce(array_contains(_ends, updated_at), false)"
+    "_key IS NOT NULL AND NOT coalesce(_has_current, false) AND _ended_key IS NOT NULL"
 )
 
 
@@ -170,10 +164,17 @@ def scd2_merge(
     inserts each of them, ``latest`` keeps the newest, ``fail`` raises.
     """
     profile = one_row_per_key(profile, spec, on_duplicate)
-    versions = close_changed(dimension, profile, spec)
+    current, history = split_versions(dimension)
+    versions = history.unionByName(close_changed(current, profile, spec))
     return versions.unionByName(new_versions(versions, profile, spec))
 
 
+def split_versions(dimension: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Current versions, and those that have ended and can never change again."""
+    current = F.coalesce(F.col("is_current"), F.lit(False))
+    return dimension.where(current), dimension.where(~current)
+
+
 def new_versions(versions: DataFrame, profile: DataFrame, spec: ScdSpec) -> DataFrame:
     """The rows a load inserts, given the versions that ``close_changed`` left."""
     starts = (

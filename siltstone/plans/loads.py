@@ -12,7 +12,7 @@ import json
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from siltstone.functions.dates import AsOf, Calendar
 from siltstone.operators.audit import (
@@ -25,15 +25,23 @@ from siltstone.operators.audit import (
 )
 from siltstone.operators.calendar import dim_date, spanning, spine_size
 from siltstone.operators.cleanse import cleanse
-from siltstone.operators.scd2 import close_changed, new_versions, one_row_per_key
+from siltstone.operators.scd2 import (
+    close_changed,
+    new_versions,
+    one_row_per_key,
+    split_versions,
+)
 from siltstone.plans.dimensions import DIMENSIONS, empty_dimension
 from siltstone.plans.facts import FACTS
 from siltstone.plans.profiles import PROFILES
 from siltstone.plans.silver import SPECS
 from siltstone.sources.extract import EPOCH, delta_extract, full_extract
+from siltstone.session import Stage
 from siltstone.sources.tables import TableStore
 
 AUDIT_TABLE = "audit.etl_audit"
+# The batches of a dimension's table.
+CURRENT, ENDED = "current", "ended"
 Results = dict[str, object]
 
 # Tables loaded side by side unless a caller says otherwise.
@@ -186,10 +194,11 @@ def load_dimensions(
 ) -> Results:
     """Merge each profile into its dimension.
 
-    Closed versions are written first and read back for the inserts, so the
-    comparison with the profile runs once. As in the audit's definition, a
-    merge reports the profile's rows and no inserts; the real numbers of new and
-    closed versions come along under names of their own.
+    Only current versions are compared with the profile, once; ended ones stay in
+    the files they are in. As in the audit's definition, a merge reports the
+    profile's rows and no inserts; the real numbers of new and closed versions
+    come along under names of their own, as does the number of business keys
+    that several profile rows share.
     """
     silver = silver_layer(store)
 
@@ -198,19 +207,23 @@ def load_dimensions(
         profile = one_row_per_key(silver[source], spec, on_duplicate)
         table = f"gold.{name}"
         if store.exists(table):
-            dimension = store.read(table)
+            current, ended = store.read(table, CURRENT), store.read(table, ENDED)
         else:
-            dimension = empty_dimension(profile, spec)
-        seen = Observation()
-        versions = close_changed(dimension.withColumn("_was", F.col("is_current")), profile, spec, "_was")
-        closed = F.count_if(F.col("_was") & ~F.col("is_current"))
-        _, inserted = store.replace_in_two(
-            table,
-            versions.observe(seen, closed.alias("closed")).drop("_was"),
-            lambda versions: new_versions(versions, profile, spec),
-        )
+            current = ended = empty_dimension(profile, spec)
+        shared = profile.where(F.col(spec.key).isNotNull()).groupBy(spec.key).count().where("count > 1")
+        with Stage(store.spark, f"{store.root}/_stage") as stage:
+            compared = stage.keep(name, close_changed(current, profile, spec))
+            still, closing = split_versions(compared)
+            inserts = new_versions(ended.unionByName(compared), profile, spec)
+            closed, _, inserted = store.revise(
+                table, ENDED, [(ENDED, closing), (CURRENT, still), (CURRENT, inserts)]
+            )
         rows = store.row_count(f"silver.{source}")
-        extra = {"new_versions": inserted, "closed_versions": seen.get["closed"]}
+        extra = {
+            "new_versions": inserted,
+            "closed_versions": closed,
+            "shared_keys": shared.count(),
+        }
         return counts(source=rows, processed=rows, inserted=0) | extra
 
     return _each(DIMENSIONS, load, parallel)

@@ -96,10 +96,12 @@ class TableStore:
     def exists(self, table: str) -> bool:
         return bool(self._versions(table))
 
-    def read(self, table: str) -> DataFrame:
+    def read(self, table: str, batch: str | None = None) -> DataFrame:
+        """The table, or the rows of one batch."""
         manifest = self._manifest(table)
         schema = StructType.fromJson(manifest["schema"])
-        paths = [f"{self.root}/{table}/{p['dir']}" for p in manifest["parts"]]
+        parts = [p for p in manifest["parts"] if batch is None or p["batch"] == batch]
+        paths = [f"{self.root}/{table}/{p['dir']}" for p in parts]
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths).select(*schema.names)
@@ -196,6 +198,20 @@ class TableStore:
         self._commit(table, base, first.schema, [p for p in (part, rest) if p["rows"]])
         return part["rows"], rest["rows"]
 
+    def revise(
+        self, table: str, keep: str, parts: Sequence[tuple[str, DataFrame]]
+    ) -> list[int]:
+        """Replace all batches but ``keep`` by ``parts`` (batch, rows), in one commit.
+
+        Rows of the kept batch are neither read nor written again; parts of that
+        name add to it. Gives the number of rows of each part.
+        """
+        base, schema = self._newest(table), parts[0][1].schema
+        kept = [p for p in self._manifest(table, base)["parts"] if p["batch"] == keep] if base else []
+        new = [self._write_part(table, align(rows, schema), (), batch) for batch, rows in parts]
+        self._commit(table, base, schema, [*kept, *[p for p in new if p["rows"]]])
+        return [p["rows"] for p in new]
+
     def replace_unless_empty(
         self, table: str, rows: DataFrame, partition_by: Sequence[str] = ()
     ) -> int:

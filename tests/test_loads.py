@@ -173,3 +173,15 @@ def test_dimension_loads_report_what_they_did(loaded):
     assert all(r["closed_versions"] == 0 and r["new_versions"] > 0 for r in first.values())
     assert second["dim_customer"]["closed_versions"] > 0
     assert all(r["inserted_record_count"] == 0 for r in second.values())
+
+
+def test_ended_versions_stay_in_their_files(loaded):
+    store, _ = loaded
+
+    def ended():
+        return {p["dir"] for p in store._manifest("gold.dim_customer")["parts"] if p["batch"] == loads.ENDED}
+
+    before, rows = ended(), store.row_count("gold.dim_customer")
+    assert before
+    loads.load_dimensions(store)
+    assert ended() == before and store.row_count("gold.dim_customer") == rows

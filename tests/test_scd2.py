@@ -196,3 +196,14 @@ def test_random_loads_follow_the_definition(spark, rows_of, seed):
         merged = scd2_merge(rows_of(DIM, *dimension), rows_of(PROFILE, *rows), SPEC).collect()
         assert sorted((tuple(r)[1:] for r in merged), key=str) == by_definition(dimension, rows)
         dimension = [tuple(r) for r in merged]
+
+
+def test_ended_versions_are_shuffled_only_as_keys_and_ends(spark, rows_of, tmp_path):
+    rows_of(DIM, version("x", "a", 0, 5), version("x", "b", 5)).write.parquet(str(tmp_path / "d"))
+    dimension = spark.read.parquet(str(tmp_path / "d"))
+    merged = scd2_merge(dimension, rows_of(PROFILE, source("x", "c", 9)), SPEC)
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    # Attributes of ended versions pass through the union, beside joins and aggregates.
+    assert plan.startswith("Union")
+    first = plan.split("+- ")[1] if "+- " in plan else plan
+    assert "Join" not in plan[: plan.index("Relation")] and "Aggregate" not in first
