@@ -137,7 +137,10 @@ def main() -> None:
     # The first pass writes the tables that queries read and warms up the JVM.
     for name in HEADLINE:
         run(queries[name](lake))
-    times = {name: timed(lambda n=name: run(queries[n](lake))) for name in HEADLINE}
+    # The better of two, as in the comparison.
+    times = {
+        name: min(timed(lambda n=name: run(queries[n](lake))) for _ in range(2)) for name in HEADLINE
+    }
     times |= load_times(spark)
     result = {
         "metric": "warehouse_queries_and_loads_total",

@@ -89,7 +89,8 @@ class Warehouse:
         return self._silver[load]
 
     def silver_rows(self, name: str, load: int = 2) -> DataFrame:
-        return cleanse(self.bronze(name, load), SPECS[name], self.silver(load), LOADS[load])
+        bronze = self.keep(f"bronze{load}_{name}", lambda: self.bronze(name, load))
+        return cleanse(bronze, SPECS[name], self.silver(load), LOADS[load])
 
     def profile_rows(self, name: str, load: int = 2) -> DataFrame:
         return PROFILES[name](self.silver(load), LOADS[load])
