@@ -46,7 +46,7 @@ LOOSE = {
     ),
     "national_id": re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"),
     "iban": re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
-    "secret": re.compile(r"(?<![\w/+=])(?=[\w/+=-]{0,200}[0-9])[A-Za-z0-9_/+=-]{24,200}(?![\w/+=])"),
+    "secret": re.compile(r"(?<![\w/+-])(?=[\w/+-]{0,200}[0-9])(?=[0-9_/+-]{0,200}[A-Za-z])[A-Za-z0-9_/+-]{16,200}={0,2}(?![\w/+=-])"),
 }
 # What must be in a text for the pattern to be worth a search.
 NEEDED = {
@@ -54,7 +54,7 @@ NEEDED = {
     "loose_phone": re.compile(r"[0-9]\)? ?[ .-][0-9]{3}|[0-9]\) ?[0-9]"),
     "national_id": re.compile(r"[0-9]-[0-9]{2}-[0-9]"),
     "iban": re.compile(r"[A-Z]{2}[0-9]{2}"),
-    "secret": re.compile(r"[A-Za-z0-9_/+=-]{24}"),
+    "secret": re.compile(r"[A-Za-z0-9_/+-]{16}"),
 }
 
 # Words that stand before personal data, and gazetteers of what it holds.
@@ -156,7 +156,7 @@ def votes(text: str, kind: str, start: int, end: int) -> list[int]:
         "phone": 1 if 9 <= len(digits) <= 12 else 2 if len(digits) < 7 else 0,
         "national_id": 1,
         "iban": 1 if 15 <= len(span.replace(" ", "")) <= 34 else 2,
-        "secret": 1 if len(set(span)) >= 12 and 0.1 < share < 0.9 else 2,
+        "secret": 1 if len(set(span)) >= 9 and 0.1 < share < 0.95 else 2,
     }[topic]
     gazetteer = {
         "email": 1 if span.lower().rsplit(".", 1)[-1].strip(" )]") in ENDINGS else 2,
@@ -176,7 +176,7 @@ def votes(text: str, kind: str, start: int, end: int) -> list[int]:
         number = "".join(str(int(c, 36)) for c in turned[4:] + turned[:4])
         checksum = 1 if int(number) % 97 == 1 else 2
     elif topic == "secret":
-        checksum = 1 if re.fullmatch(r"[0-9a-f]{32,}|[0-9A-F]{32,}", span) else 0
+        checksum = 1 if re.fullmatch(r"[0-9a-f]{16,}|[0-9A-F]{16,}", span) else 0
     left, right = text[start - 1 : start], text[end : end + 1]
     edges = 1 if (not left or left in " \n\t:(<\"'=") and (not right or right in " \n\t.,;)>\"'") else 2
     return [shape, gazetteer, context, checksum, edges]
@@ -220,30 +220,33 @@ def annotations(column: pa.Array) -> pa.Array:
 
 
 class Reliability:
-    """What the labelers' agreement says: one hidden truth per span, labelers independent given it."""
+    """What the labelers' agreement says about each labeler, and about each cell.
+
+    One hidden truth per span; a labeler that votes is right with a probability of its own, and better than chance.
+    Silence says nothing: else kinds, which differ in who can vote, would be told apart instead of truth. ``PSEUDO``
+    is the weight of the prior belief, as a share of all spans.
+    """
+
+    PSEUDO, EXPECTED = 0.05, 0.7
 
     def __init__(self, numbers: np.ndarray, counts: np.ndarray, rounds: int = 60):
         kinds, given, _ = unpack(numbers)
         weights = counts / counts.sum()
-        # Start from the majority; smoothing keeps unseen votes possible.
-        self.truth = np.clip(0.5 + 0.2 * ((given == 1).sum(1) - (given == 2).sum(1)), 0.05, 0.95)
-        onehot = (given[:, :, None] == np.arange(3)).astype(float)
+        signs = (given == 1).astype(float) - (given == 2)
+        voted = weights @ np.abs(signs)
+        of_kind = kinds == np.arange(len(KINDS))[:, None]
+        truth = 1 / (1 + np.exp(-signs.sum(1)))
         for _ in range(rounds):
-            p, n = weights * self.truth, weights * (1 - self.truth)
-            self.prior = np.array([
-                (p[kinds == k].sum() + 1e-6) / (weights[kinds == k].sum() + 2e-6) for k in range(len(KINDS))
-            ])
-            self.for_ = (np.tensordot(p, onehot, 1) + 1e-4) / (p.sum() + 3e-4)
-            self.against = (np.tensordot(n, onehot, 1) + 1e-4) / (n.sum() + 3e-4)
-            prior = np.clip(self.prior[kinds], 0.02, 0.98)
-            odds = np.log(prior / (1 - prior)) + (onehot * np.log(self.for_ / self.against)).sum((1, 2))
-            self.truth = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-
-    def accuracy(self) -> dict[str, float]:
-        """Of each labeler: how often it is right when it votes."""
-        right = self.for_[:, 1] * 0.5 + self.against[:, 2] * 0.5
-        wrong = self.for_[:, 2] * 0.5 + self.against[:, 1] * 0.5
-        return dict(zip(LABELERS, (right / (right + wrong)).tolist(), strict=True))
+            right = (weights * truth) @ (signs > 0) + (weights * (1 - truth)) @ (signs < 0)
+            self.accuracy = np.clip(
+                (right + self.PSEUDO * self.EXPECTED) / (voted + self.PSEUDO), 0.51, 0.99
+            )
+            prior = (of_kind @ (weights * truth) + self.PSEUDO / 2) / (of_kind @ weights + self.PSEUDO)
+            self.prior = np.clip(prior, 0.2, 0.8)
+            odds = np.log(self.prior / (1 - self.prior))[kinds]
+            odds = odds + signs @ np.log(self.accuracy / (1 - self.accuracy))
+            truth = 1 / (1 + np.exp(-odds))
+        self.truth = truth
 
 
 class SpanClassifier:
