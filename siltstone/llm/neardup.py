@@ -10,7 +10,8 @@ bits). Empty registers borrow from others in a fixed random order, the same for
    may reach the threshold is confirmed on the full sets of both texts.
 4. Links are contracted to components. Buckets whose members all ended up in one component are done. In the others
    a second leader per bucket is tried, and then whatever still lies in different components of a bucket is compared exhaustively, in blocks
-   that emit only pairs whose estimate passes. Nothing is capped: no pair that shares a bucket is skipped unless it is already connected.
+   that emit links only. Nothing is capped: no pair that shares a bucket is skipped unless it is already connected or its
+   estimate rules it out.
 
 Two documents at similarity 0.75 share no bucket with a probability of about 2e-5 (40 bands of 5 registers), and more similar ones
 less. The estimate is trusted within five of its standard deviations.
@@ -38,7 +39,8 @@ from siltstone.llm.components import components, relabel
 WORDS, THRESHOLD_PERCENT = 5, 75
 REGISTERS, BANDS, ROWS = 256, 40, 5
 MANTISSA = 10
-BLOCK = 128
+# A block of a bucket has about so many members, and shingles.
+BLOCK, BLOCK_SHINGLES = 128, 100_000
 SIGMAS = 5.0
 
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
@@ -166,6 +168,11 @@ def sketches(column: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays(columns, names=["n", "fingerprint", "sketch"])
 
 
+@F.arrow_udf(T.BinaryType())
+def _shingle_bytes(column: pa.Array) -> pa.Array:
+    return pa.array([shingle_set(text).tobytes() for text in strings(column)], pa.binary())
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, REGISTERS)
 
@@ -213,7 +220,10 @@ class _Search:
         member = self.texts.select(F.col("id").alias("b"), F.col("text").alias("t_b"))
         leader = self.texts.select(F.col("id").alias("a"), F.col("text").alias("t_a"))
         both = pairs.join(member, "b").join(leader, "a")
-        links = both.where(_linked("t_a", "t_b")).select("a", "b")
+        self.add(both.where(_linked("t_a", "t_b")).select("a", "b"))
+
+    def add(self, links: DataFrame) -> None:
+        """Contract links into the components."""
         if self.roots is None:
             self.roots = components(links)
             return
@@ -253,49 +263,77 @@ def _with_leader(members: DataFrame, order: Column, *more: str) -> DataFrame:
     return members.join(leaders, "bucket")
 
 
-def _rest(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """All promising pairs (a, b, estimate) across components within a bucket, found block by block.
+def _rest(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between components that share a bucket, found block by block on the full sets.
 
-    The members of the bucket's largest component are compared with the others only, not among themselves. Blocks of members are joined,
-    not members, and a pair leaves a block only if its estimate passes.
+    The members of a bucket's largest component are compared with the others only, not among themselves. Blocks of
+    members are joined, not members; a pair is compared in the first bucket that it shares, and a block emits at
+    most one link for a member and another component.
     """
     sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("size"))
-    largest = sizes.groupBy("bucket").agg(
-        F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("all_size")
-    )
-    placed = members.join(written(largest, "largest"), "bucket").join(classes, "id")
+    largest = sizes.groupBy("bucket").agg(F.max(F.struct("size", "component")).alias("top"))
+    ids = members.select("id").distinct()
+    full = texts.join(ids, "id", "left_semi").select("id", _shingle_bytes("text").alias("shingles"))
+    full = written(full.join(classes, "id").dropDuplicates(["id"]), "sets")
+    placed = members.join(written(largest, "largest"), "bucket").join(full, "id")
     placed = placed.withColumn("outer", F.col("component") != F.col("top.component"))
-    row = F.struct("id", "component", "n", "sketch", "outer").alias("row")
+    shares = members.join(classes.select("id", "n"), "id").groupBy("bucket")
+    shares = shares.agg(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
+    placed = placed.join(written(shares, "shares"), "bucket")
+    row = F.struct("id", "component", "n", "sketch", "outer", "shingles").alias("row")
 
     def blocks(rows: DataFrame, name: str) -> DataFrame:
-        chunk = F.pmod(F.xxhash64("id"), F.ceil(F.col("all_size") / BLOCK)).alias("chunk")
+        chunk = F.pmod(F.xxhash64("id"), F.ceil("blocks").cast("bigint")).alias("chunk")
         grouped = rows.select("bucket", chunk, row).groupBy("bucket", "chunk").agg(F.collect_list("row").alias(name))
         return grouped.withColumnRenamed("chunk", f"{name}_chunk")
 
-    joined = blocks(placed.where("outer"), "some").join(blocks(placed, "every"), "bucket").select("some", "every")
+    joined = blocks(placed.where("outer"), "some").join(blocks(placed, "every"), "bucket")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some, every in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                x, y = ({k: [r[k] for r in rows] for k in ("id", "component", "n", "outer")} for rows in (some, every))
-                sx, sy = (
-                    np.frombuffer(b"".join(r["sketch"] for r in rows), np.uint16).reshape(-1, REGISTERS)
-                    for rows in (some, every)
-                )
-                ids, others = np.array(x["id"]), np.array(y["id"])
-                apart = np.array(x["component"])[:, None] != np.array(y["component"])
-                # A pair of two outer members turns up twice; one is enough.
-                apart &= ~np.array(y["outer"]) | (ids[:, None] < others)
-                agreeing = np.stack([(s == sy).sum(1) for s in sx])
-                n, m = np.array(x["n"], float)[:, None], np.array(y["n"], float)
-                at = np.nonzero(apart & may_link(agreeing, n, m))
-                guess = estimate(agreeing, n, m)[at]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[at[0]], pa.int64()), pa.array(others[at[1]], pa.int64()), pa.array(guess, pa.float64())],
-                    names=["a", "b", "guess"],
-                )
-
-    return joined.mapInArrow(compare, "a bigint, b bigint, guess double").dropDuplicates(["a", "b"])
+            found: list[tuple[int, int]] = []
+            for bucket, some, every in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found += _block_links(bucket, _Block(some), _Block(every))
+            columns = zip(*found, strict=True) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+
+    return joined.select("bucket", "some", "every").mapInArrow(compare, "a bigint, b bigint")
+
+
+class _Block:
+    """Some members of a bucket, as arrays."""
+
+    def __init__(self, rows: list[dict]):
+        self.ids = np.array([r["id"] for r in rows], np.int64)
+        self.components = np.array([r["component"] for r in rows], np.int64)
+        self.outer = np.array([r["outer"] for r in rows], bool)
+        self.n = np.array([r["n"] for r in rows], float)
+        self.sketches = np.frombuffer(b"".join(r["sketch"] for r in rows), np.uint16).reshape(-1, REGISTERS)
+        self.bands = band_keys(self.sketches)
+        self.sets = [np.frombuffer(r["shingles"], np.uint64) for r in rows]
+
+
+def _block_links(bucket: int, some: _Block, every: _Block) -> list[tuple[int, int]]:
+    found = []
+    for i, own in enumerate(some.sets):
+        # A pair of two outer members meets twice; once is enough.
+        apart = (some.components[i] != every.components) & (~every.outer | (some.ids[i] < every.ids))
+        if not apart.any():
+            continue
+        agreeing = (some.sketches[i] == every.sketches).sum(1)
+        near = np.flatnonzero(apart & may_link(agreeing, some.n[i], every.n))
+        shared = (some.bands[i] == every.bands[near]).argmax(1)
+        near = near[some.bands[i][shared] == bucket]
+        if not len(near):
+            continue
+        others = np.concatenate([every.sets[j] for j in near])
+        owner = np.repeat(np.arange(len(near)), [len(every.sets[j]) for j in near])
+        at = np.minimum(np.searchsorted(own, others), len(own) - 1)
+        both = np.bincount(owner[own[at] == others], minlength=len(near))
+        linked = near[100 * both >= THRESHOLD_PERCENT * (some.n[i] + every.n[near] - both)]
+        _, first = np.unique(every.components[linked], return_index=True)
+        found += [(int(some.ids[i]), int(every.ids[j])) for j in linked[first]]
+    return found
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -331,14 +369,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         search.confirm(search.promising(pairs.distinct()))
         still = search.open_members(still.select("bucket", "id"))
     if not still.isEmpty():
-        rest = written(_rest(still, classes), "rest")
-        # The likeliest partner of each first; what stays apart after that is compared completely.
-        best = rest.groupBy("a").agg(F.max_by("b", "guess").alias("b"))
-        search.confirm(best)
-        if search.roots is not None:
-            ends = rest.select("a", "b", F.col("a").alias("x"), F.col("b").alias("y"))
-            rest = relabel(ends, search.roots, "x", "y").where("x != y").select("a", "b")
-        search.confirm(rest.select("a", "b"))
+        search.add(_rest(still, classes, search.texts))
 
     result = sketched.join(shared, "fingerprint", "left").withColumn("component_id", F.coalesce("class", "id"))
     if search.roots is not None:
