@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.llm.common import small_batches, strings
+from siltstone.llm.common import small_batches, strings, written
 
 WINDOW = 10
 # Bytes of item texts in one broadcast block.
@@ -115,7 +115,7 @@ def _passages(name: str, shared: Broadcast, window: int) -> Passages:
     return _ready[name]
 
 
-def _scan(block: list[tuple], window: int, docs: DataFrame, text: str, columns: list) -> DataFrame:
+def _scan(block: list[tuple], window: int, docs: DataFrame, text: str, columns: list) -> tuple[DataFrame, Broadcast]:
     shared = docs.sparkSession.sparkContext.broadcast(block)
     name = uuid.uuid4().hex
 
@@ -135,7 +135,7 @@ def _scan(block: list[tuple], window: int, docs: DataFrame, text: str, columns:
             names=["n_words", "runs", "items"],
         )
 
-    return docs.select(*columns, scan(F.col(text)).alias("scan"))
+    return docs.select(*columns, scan(F.col(text)).alias("scan")), shared
 
 
 @F.arrow_udf(T.ArrayType(T.LongType()))
@@ -166,23 +166,38 @@ def contamination(
 ) -> DataFrame:
     """One row per document: key, n_words, runs (word positions of hits), items (sorted as strings).
 
-    With more than one block, a document's partial results meet by a row number of the source, so repeated
-    keys stay apart.
+    Items of more than one block are scanned for block by block; the rows are written in between, so the driver and
+    each worker hold one block at a time, and repeated keys stay apart.
     """
     small_batches(docs.sparkSession)
-    parts = list(blocks(items, item_key, item_text, block_bytes))
-    if len(parts) == 1:
-        return _scan(parts[0], window, docs, text, [F.col(key)]).select(key, "scan.*")
-    rows = docs.select(F.col(key), F.col(text).alias("_text"))
-    for k, part in enumerate(parts):
-        kept = [F.col(c) for c in rows.columns]
-        rows = _scan(part, window, rows, "_text", kept).withColumnRenamed("scan", f"_scan{k}")
-    scans = [F.col(f"_scan{k}") for k in range(len(parts))]
+    parts = blocks(items, item_key, item_text, block_bytes)
+    part, following = next(parts), next(parts, None)
+    if following is None:
+        return _scan(part, window, docs, text, [F.col(key)])[0].select(key, "scan.*")
+    rows = docs.select(
+        F.col(key).alias("_key"),
+        F.col(text).alias("_text"),
+        F.array().cast("array<array<bigint>>").alias("_runs"),
+        F.array().cast("array<string>").alias("_items"),
+    )
+    while part is not None:
+        found, shared = _scan(part, window, rows, "_text", [F.col(c) for c in rows.columns])
+        found = found.select(
+            "_key",
+            "_text",
+            F.array_append("_runs", F.col("scan.runs")).alias("_runs"),
+            F.array_union("_items", F.col("scan.items")).alias("_items"),
+            F.col("scan.n_words").alias("_n_words"),
+        )
+        rows = written(found, "scan").drop("_n_words") if following is not None else found
+        if following is not None:
+            shared.destroy()
+        part, following = following, next(parts, None)
     return rows.select(
-        key,
-        scans[0]["n_words"].alias("n_words"),
-        _merged(F.array(*[s["runs"] for s in scans])).alias("runs"),
-        F.array_sort(F.array_distinct(F.flatten(F.array(*[s["items"] for s in scans])))).alias("items"),
+        F.col("_key").alias(key),
+        F.col("_n_words").alias("n_words"),
+        _merged("_runs").alias("runs"),
+        F.array_sort("_items").alias("items"),
     )
 
 

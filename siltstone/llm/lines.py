@@ -85,13 +85,15 @@ class LineIndex:
         self,
         spark: SparkSession,
         folder: str | None = None,
-        shards: int = SHARDS,
+        shards: int | None = None,
         min_docs: int = MIN_DOCS,
         min_chars: int = MIN_CHARS,
     ):
         self.spark = spark
         self.folder = folder or f"{shared_folder(spark).rstrip('/')}/lines-{uuid.uuid4().hex}"
-        self.shards, self.min_docs, self.min_chars = shards, min_docs, min_chars
+        # As many as the session shuffles into, so that a larger corpus has more and not larger filters.
+        self.shards = shards or max(SHARDS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        self.min_docs, self.min_chars = min_docs, min_chars
         self.version = 0
 
     def _path(self, table: str, version: int | None = None) -> str:
