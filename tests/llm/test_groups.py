@@ -7,7 +7,7 @@ import random
 import numpy as np
 import plain
 import pytest
-from conftest import EDGE, FOLDER, SENTENCE
+from cases import EDGE, FOLDER, SENTENCE
 
 from siltstone.llm import lines, neardup, warc
 from siltstone.llm.components import components

@@ -8,7 +8,7 @@ import zlib
 
 import plain
 import pytest
-from conftest import EDGE, SENTENCE
+from cases import EDGE, SENTENCE
 from pyspark.sql import functions as F
 
 from siltstone.llm import chat, decontaminate, pii, quality, shards

@@ -7,7 +7,7 @@ import os
 
 import duckdb
 import pytest
-from conftest import FOLDER
+from cases import FOLDER
 
 from siltstone.llm.catalog import oracle_queries, queries
 
