@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from siltstone.session import shared_folder
+from siltstone.session import Stage, shared_folder
 
 # Rows that Spark hands to Python at once; long texts make batches of few rows.
 BATCH_BYTES = "8m"
@@ -36,3 +36,10 @@ def written(rows: DataFrame, what: str) -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+class Scratch(Stage):
+    """Tables that only the steps of one call read. ``remove`` frees their space once the last of them has run."""
+
+    def written(self, rows: DataFrame, what: str) -> DataFrame:
+        return self.keep(f"{what}-{uuid.uuid4().hex}", rows)

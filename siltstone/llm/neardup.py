@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.llm.common import small_batches, strings, struct, written
+from siltstone.llm.common import Scratch, small_batches, strings, struct, written
 from siltstone.llm.components import components, relabel
 
 WORDS, THRESHOLD_PERCENT = 5, 75
@@ -201,8 +201,8 @@ def _linked(a: pa.Array, b: pa.Array) -> pa.Array:
 class _Search:
     """The state of one run: classes with their sketches, members of buckets, roots of components."""
 
-    def __init__(self, classes: DataFrame, texts: DataFrame):
-        self.classes, self.texts = classes, texts
+    def __init__(self, classes: DataFrame, texts: DataFrame, scratch: Scratch):
+        self.classes, self.texts, self.scratch = classes, texts, scratch
         self.roots: DataFrame | None = None
 
     def promising(self, pairs: DataFrame) -> DataFrame:
@@ -214,7 +214,7 @@ class _Search:
 
     def confirm(self, pairs: DataFrame) -> None:
         """Keep the pairs that their full sets link, and contract them into the components."""
-        pairs = written(pairs, "pairs")
+        pairs = self.scratch.written(pairs, "pairs")
         if pairs.isEmpty():
             return
         member = self.texts.select(F.col("id").alias("b"), F.col("text").alias("t_b"))
@@ -237,10 +237,10 @@ class _Search:
         labelled = members.withColumn("component", F.col("id"))
         if self.roots is not None:
             labelled = relabel(labelled, self.roots, "component")
-        labelled = written(labelled, "members")
+        labelled = self.scratch.written(labelled, "members")
         apart = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        apart = written(apart.where("x != y").select("bucket"), "buckets")
-        return written(labelled.join(apart, "bucket", "left_semi"), "members")
+        apart = self.scratch.written(apart.where("x != y").select("bucket"), "buckets")
+        return self.scratch.written(labelled.join(apart, "bucket", "left_semi"), "members")
 
 
 def _bands(classes: DataFrame) -> DataFrame:
@@ -256,14 +256,14 @@ def _bands(classes: DataFrame) -> DataFrame:
     return classes.select("id", "sketch").mapInArrow(explode, "bucket bigint, id bigint")
 
 
-def _with_leader(members: DataFrame, order: Column, *more: str) -> DataFrame:
+def _with_leader(members: DataFrame, scratch: Scratch, order: Column, *more: str) -> DataFrame:
     """Each member with the member of its bucket that comes first in ``order``."""
     first = F.min(F.struct(order.alias("order"), "id", *more)).alias("first")
-    leaders = written(members.groupBy("bucket").agg(first), "leaders")
+    leaders = scratch.written(members.groupBy("bucket").agg(first), "leaders")
     return members.join(leaders, "bucket")
 
 
-def _rest(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+def _rest(members: DataFrame, classes: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
     """Links (a, b) between components that share a bucket, found block by block on the full sets.
 
     The members of a bucket's largest component are compared with the others only, not among themselves. Blocks of
@@ -274,12 +274,12 @@ def _rest(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame
     largest = sizes.groupBy("bucket").agg(F.max(F.struct("size", "component")).alias("top"))
     ids = members.select("id").distinct()
     full = texts.join(ids, "id", "left_semi").select("id", _shingle_bytes("text").alias("shingles"))
-    full = written(full.join(classes, "id").dropDuplicates(["id"]), "sets")
-    placed = members.join(written(largest, "largest"), "bucket").join(full, "id")
+    full = scratch.written(full.join(classes, "id").dropDuplicates(["id"]), "sets")
+    placed = members.join(scratch.written(largest, "largest"), "bucket").join(full, "id")
     placed = placed.withColumn("outer", F.col("component") != F.col("top.component"))
     shares = members.join(classes.select("id", "n"), "id").groupBy("bucket")
     shares = shares.agg(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
-    placed = placed.join(written(shares, "shares"), "bucket")
+    placed = placed.join(scratch.written(shares, "shares"), "bucket")
     row = F.struct("id", "component", "n", "sketch", "outer", "shingles").alias("row")
 
     def blocks(rows: DataFrame, name: str) -> DataFrame:
@@ -347,29 +347,32 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     shared = written(shared.where("size > 1").select("fingerprint", "class"), "classes")
     classed = usable.join(shared, "fingerprint", "left").withColumn("class", F.coalesce("class", "id"))
     classes = classed.where(F.col("class") == F.col("id")).dropDuplicates(["id", "fingerprint"])
-    classes = written(classes.select("id", "n", "sketch"), "sketches")
+    scratch = Scratch(docs.sparkSession)
+    classes = scratch.written(classes.select("id", "n", "sketch"), "sketches")
     members_all = _bands(classes)
     several = members_all.groupBy("bucket").agg(F.count("*").alias("size"))
-    several = written(several.where("size > 1").select("bucket"), "buckets")
-    members = written(members_all.join(several, "bucket", "left_semi"), "members")
+    several = scratch.written(several.where("size > 1").select("bucket"), "buckets")
+    members = scratch.written(members_all.join(several, "bucket", "left_semi"), "members")
     # Texts move once, and only those of classes that share a bucket with another.
     wanted = members.select("id").distinct()
     texts = rows.where("text IS NOT NULL").join(wanted, "id", "left_semi").dropDuplicates(["id"])
-    search = _Search(classes, written(texts, "texts"))
+    search = _Search(classes, scratch.written(texts, "texts"), scratch)
 
     # One order for all buckets: members of a group meet the same leader in many bands.
-    led = _with_leader(members, F.xxhash64("id"))
+    led = _with_leader(members, scratch, F.xxhash64("id"))
     pairs = led.where("id != first.id").select(F.col("first.id").alias("a"), F.col("id").alias("b")).distinct()
     search.confirm(search.promising(pairs))
     # Then an order of its own for each bucket, where components still lie apart.
     still = search.open_members(members)
     if not still.isEmpty():
-        led = _with_leader(still, F.xxhash64("id", "bucket"), "component")
+        led = _with_leader(still, scratch, F.xxhash64("id", "bucket"), "component")
         pairs = led.where("component != first.component").select(F.col("first.id").alias("a"), F.col("id").alias("b"))
         search.confirm(search.promising(pairs.distinct()))
         still = search.open_members(still.select("bucket", "id"))
     if not still.isEmpty():
-        search.add(_rest(still, classes, search.texts))
+        search.add(_rest(still, classes, search.texts, scratch))
+    # The components are tables of their own by now.
+    scratch.remove()
 
     result = sketched.join(shared, "fingerprint", "left").withColumn("component_id", F.coalesce("class", "id"))
     if search.roots is not None:
