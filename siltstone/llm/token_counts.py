@@ -1,7 +1,7 @@
 """Token counts by a two-tier lookup on the map side.
 
-With a piece model, merges never cross the start of a word (a space mark after another character) nor a character that
-occurs in no longer piece, so a text's count is the sum over its pre-tokens. The lengths of frequent
+With a piece model, merges never cross the start of a word (a space mark after another character), the end of a word before punctuation, nor a
+character that occurs in no longer piece, so a text's count is the sum over its pre-tokens. The lengths of frequent
 pre-tokens, those the model's own training made pieces of, are a compact table that every task gets by
 broadcast; a vocabulary bounds its size. Other pre-tokens are encoded by the model once per worker and kept in its
 cache, which is emptied when full. No pre-token is ever shuffled.
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,26 +49,29 @@ class PieceModel:
         self.pieces = pieces
         joining = sorted({c for p in pieces if len(p) > 1 for c in p} - {MARK})
         inside = "".join(map(re.escape, joining))
-        self.split = re.compile(f"{MARK}*[{inside}]+|{MARK}+|[^{inside}{MARK}]").findall
-
-    def count(self, token: str) -> int:
-        """Tokens of one pre-token. The model puts a mark before each text, so a leading one is left out."""
-        if token == MARK:
-            return 1
-        if token[0] == MARK:
-            return len(self.model.encode(token[1:].replace(MARK, " ")))
-        # Without a mark of its own: behind a character that nothing joins, as the first one here.
-        return len(self.model.encode("\n" + token)) - self._lead()
-
-    def _lead(self) -> int:
-        if not hasattr(self, "_lead_tokens"):
-            self._lead_tokens = len(self.model.encode("\n"))
-        return self._lead_tokens
+        letters = "".join(re.escape(c) for c in joining if c.isalpha())
+        others = "".join(re.escape(c) for c in joining if not c.isalpha())
+        word = f"[{inside}]+"
+        if not any(a.isalpha() and not b.isalpha() for p in pieces for a, b in zip(p, p[1:], strict=False)):
+            # No piece goes on behind a word, so punctuation there is a pre-token of its own.
+            word = f"(?:[{others}]*[{letters}]+|[{others}]+)"
+        self.split = re.compile(f"{MARK}*{word}|{MARK}+|[^{inside}{MARK}]").findall
+
+    def counts(self, tokens: list[str]) -> list[int]:
+        """Tokens of each pre-token, encoded together.
+
+        The model puts a mark before each text, so a leading one is left out. A pre-token without one goes behind a
+        character that nothing joins, as a new line is here.
+        """
+        texts = [t[1:].replace(MARK, " ") if t[0] == MARK else "\n" + t for t in tokens]
+        lead = len(self.model.encode("\n"))
+        sizes = map(len, self.model.encode(texts, num_threads=1))
+        return [1 if t == MARK else n - (t[0] != MARK) * lead for t, n in zip(tokens, sizes, strict=True)]
 
     def frequent(self) -> tuple[bytes, np.ndarray]:
         """The pre-tokens that are pieces: their texts in one block of bytes, and their lengths in tokens."""
         tokens = [p for p in self.pieces if self.split(p) == [p]]
-        return "\0".join(tokens).encode(), np.array([self.count(t) for t in tokens], np.uint8)
+        return "\0".join(tokens).encode(), np.array(self.counts(tokens), np.uint8)
 
 
 class Lengths(dict):
@@ -78,19 +82,20 @@ class Lengths(dict):
         super().__init__(self.base)
         self.model = model
 
-    def __missing__(self, token: str) -> int:
-        n = self.model.count(token)
-        if len(token) <= CACHED_LENGTH:
-            if len(self) >= len(self.base) + CACHED:
-                self.clear()
-                self.update(self.base)
-            self[token] = n
-        return n
-
-    def total(self, text: str) -> int:
-        if not text:
-            return 0
-        return sum(map(self.__getitem__, self.model.split(MARK + text.replace(" ", MARK))))
+    def totals(self, texts: list[str]) -> list[int]:
+        """Tokens of each text. The misses of all texts are encoded together."""
+        if len(self) > len(self.base) + CACHED:
+            self.clear()
+            self.update(self.base)
+        split = self.model.split
+        words = [split(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        misses = [w for w in set(chain.from_iterable(words)) if w not in self]
+        self.update(zip(misses, self.model.counts(misses), strict=True))
+        sums = [sum(map(self.__getitem__, w)) for w in words]
+        for w in misses:
+            if len(w) > CACHED_LENGTH:
+                del self[w]
+        return sums
 
 
 @lru_cache(maxsize=2)
@@ -113,8 +118,7 @@ def count_tokens(
 
     @F.arrow_udf("bigint")
     def tokens(column: pa.Array) -> pa.Array:
-        total = _lengths(*shared.value).total
-        return pa.array([total(t) for t in strings(column)], pa.int64())
+        return pa.array(_lengths(*shared.value).totals(strings(column)), pa.int64())
 
     rows = docs.select(
         F.col(key),

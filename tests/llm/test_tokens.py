@@ -8,7 +8,7 @@ import numpy as np
 import plain
 import public_tokenizers
 import pytest
-from conftest import EDGE
+from cases import EDGE
 
 from siltstone.llm.bpe import Encoder, PairTable, Tokenizer
 from siltstone.llm.token_counts import Lengths, PieceModel, count_tokens
@@ -89,8 +89,8 @@ def test_edge_texts(spark, edge, nothing):
 def test_counts_are_those_of_the_model():
     model = PieceModel(read(PIECES))
     lengths, library = Lengths(model, *model.frequent()), plain.piece_bpe()
-    for text in odd_texts():
-        assert lengths.total(text) == len(library.encode(text)), text
+    texts = odd_texts()
+    assert lengths.totals(texts) == [len(library.encode(t)) for t in texts]
 
 
 def test_a_full_cache_changes_nothing(monkeypatch):
@@ -98,7 +98,8 @@ def test_a_full_cache_changes_nothing(monkeypatch):
     model = PieceModel(read(PIECES))
     lengths, library = Lengths(model, *model.frequent()), plain.piece_bpe()
     for text in odd_texts()[:200]:
-        assert lengths.total(text) == len(library.encode(text))
+        assert lengths.totals([text]) == [len(library.encode(text))]
+    assert lengths.totals([]) == [] and lengths.totals([""]) == [0]
     assert len(lengths) <= len(lengths.base) + 3
 
 
