@@ -23,9 +23,10 @@ from siltstone.llm.common import small_batches, strings, struct
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOLS = "#*$%&|<>"
-# Percent of a text's word characters that may lie in repeats (after the first occurrence).
-LIMITS = {5: 40, 7: 35, 10: 30}
-LINE_LIMIT = 30
+# Percent of a text's word characters that may lie in repeats (after the first occurrence). A passage that stands
+# twice and passes the base rule covers at most half of MAX_REPEAT_PERCENT, so limits from there on would never decide.
+LIMITS = {5: 15, 7: 14, 10: 10}
+LINE_LIMIT = 20
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
 _BASE = 0x9E3779B97F4A7C15 | 1

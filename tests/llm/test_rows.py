@@ -42,6 +42,28 @@ def test_quality_edge_texts(edge, nothing):
     assert kept.columns == edge.columns and kept.count() == len(EDGE)
 
 
+def test_quality_rejects_repeats_that_pass_the_base_rule(spark):
+    """A passage or a line that stands twice, in less than half of the words; and what lies just below the limits."""
+
+    def unique(tag, n):
+        return " ".join(f"{tag}{i:03d}" for i in range(n))
+
+    passage = unique("p", 98)
+    texts = {
+        1: " ".join([passage, unique("a", 102), passage, unique("b", 102)]),
+        2: "\n".join([unique("a", 150), passage, unique("b", 54), passage]),
+        3: " ".join([unique("p", 40), unique("a", 300), unique("p", 40), unique("b", 20)]),
+        4: unique("a", 400),
+        5: " ".join([unique("p", 41), unique("a", 300), unique("p", 41), unique("b", 18)]),
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    rows = {r.doc_id: r for r in quality.assess(docs).collect()}
+    assert not any(r.base_failed for r in rows.values())
+    assert 100 * rows[1].n_repeat_words == 49 * rows[1].n_words and rows[1].n_dup_lines == 0 and rows[2].n_dup_lines == 1
+    assert {d for d, r in rows.items() if r.kept} == {3, 4} and 100 * rows[3].rep10_chars == 10 * rows[3].word_chars
+    assert {r.doc_id for r in quality.keep_good(docs).collect()} == {3, 4}
+
+
 def contaminated(docs, items, **options):
     rows = decontaminate.contamination(docs, items, **options)
     rows = rows.select("doc_id", "n_words", decontaminate.hit_words(F.col("runs")).alias("n"), "items")
