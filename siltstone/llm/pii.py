@@ -29,14 +29,14 @@ BASE = ("email", "ip", "card", "phone")
 MORE = ("loose_email", "loose_phone", "national_id", "iban", "secret")
 KINDS = BASE + MORE
 
-DIGIT = re.compile("[0-9]")
+DIGIT, LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
 # Fixed patterns of the base kinds. A digit before the start would only lead to a match within a match.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-# Loose patterns: bounded repeats, each starting at a word's edge.
+# Loose patterns, each starting at a word's edge: bounded repeats, or whole runs that are never given back.
 LOOSE = {
     "loose_email": re.compile(
         r"(?<![\w.+-])[\w.+-]{1,64} ?[\[(] ?(?:at|AT) ?[\])] ?[\w-]{1,63}(?: ?[\[(]? ?(?:dot|DOT|\.) ?[\])]? ?[\w-]{2,24}){1,4}"
@@ -46,7 +46,7 @@ LOOSE = {
     ),
     "national_id": re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"),
     "iban": re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
-    "secret": re.compile(r"(?<![\w/+-])(?=[\w/+-]{0,200}[0-9])(?=[0-9_/+-]{0,200}[A-Za-z])[A-Za-z0-9_/+-]{16,200}={0,2}(?![\w/+=-])"),
+    "secret": re.compile(r"(?<![\w/+-])[A-Za-z0-9_/+-]{16,}+={0,2}+(?![\w/+=-])"),
 }
 # What must be in a text for the pattern to be worth a search.
 NEEDED = {
@@ -133,6 +133,9 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, i
             continue
         k, own = 0, []
         for m in pattern.finditer(text):
+            # Here and not in the pattern, where only a bounded look-ahead is linear.
+            if kind == "secret" and not (DIGIT.search(m[0]) and LETTER.search(m[0])):
+                continue
             a, b = m.span()
             while k < len(taken) and taken[k][1] <= a:
                 k += 1

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import zlib
 
 import plain
@@ -149,6 +150,39 @@ def test_labelers_are_told_apart(spark):
     assert good >= 0.95 * len(found)
 
 
+def secrets(text):
+    return [(a, b) for kind, a, b in pii.candidates(text, pii.base_spans(text)) if kind == "secret"]
+
+
+@pytest.mark.parametrize("size", [16, 40, 200, 201, 300, 600, 100_000])
+def test_secrets_of_any_length(size):
+    rng = random.Random(size)
+    token = "k" + "".join(rng.choices("abcdefXYZ_/+-", k=size - 2)) + "7"
+    for end in ("", "=", "=="):
+        text = f"api key = {token}{end} ok"
+        assert secrets(text) == [(10, 10 + size + len(end))]
+    # Neither letters only, digits only, nor a part of a longer run.
+    assert secrets(f"api key = {'k' * size} {'_7' * size}") == []
+    assert secrets(f"api key = {token}=== {token}é") == []
+
+
+def test_secrets_in_short_runs_are_as_before():
+    stated = r"(?<![\w/+-])(?=[\w/+-]*[0-9])(?=[0-9_/+-]*[A-Za-z])[A-Za-z0-9_/+-]{16,}={0,2}(?![\w/+=-])"
+    rng = random.Random(6)
+    for _ in range(5000):
+        text = "".join(rng.choices(["ab", "Z", "_", "/", "77", "=", " ", ".", "é", "key", "-"], k=rng.randrange(60)))
+        found = [m.span() for m in re.finditer(stated, text)]
+        assert [m.span() for m in pii.LOOSE["secret"].finditer(text) if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])] == found
+
+
+def test_long_secrets_are_reported(spark):
+    rng = random.Random(8)
+    sizes = [40, 201, 400]
+    rows = [(i, f"my api key = \"{rng.randbytes(sizes[i % 3]).hex()[: sizes[i % 3]]}\" ok") for i in range(60)]
+    found = pii.report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.spans for r in found} == {i: f"secret:14:{14 + sizes[i % 3]}" for i, _ in rows}
+
+
 def test_rendezvous_keeps_its_law(query, given):
     texts, rows = given(), query("op9_rendezvous")
     assert len(rows) == len(texts)
