@@ -195,7 +195,8 @@ def load_dimensions(
     """Merge each profile into its dimension.
 
     Only current versions are compared with the profile, once; ended ones stay in
-    the files they are in. As in the audit's definition, a merge reports the
+    the files they are in. A table whose parts are not told apart yet (a full refresh wrote
+    them) is split once, with all its history. As in the audit's definition, a merge reports the
     profile's rows and no inserts; the real numbers of new and closed versions
     come along under names of their own, as does the number of business keys
     that several profile rows share.
@@ -206,8 +207,14 @@ def load_dimensions(
         spec, source = DIMENSIONS[name]
         profile = one_row_per_key(silver[source], spec, on_duplicate)
         table = f"gold.{name}"
+        moved: list[tuple[str, DataFrame]] = []
         if store.exists(table):
             current, ended = store.read(table, CURRENT), store.read(table, ENDED)
+            other = store.read_other(table, (CURRENT, ENDED))
+            if other is not None:
+                open_, past = split_versions(other)
+                current, ended = current.unionByName(open_), ended.unionByName(past)
+                moved.append((ENDED, past))
         else:
             current = ended = empty_dimension(profile, spec)
         shared = profile.where(F.col(spec.key).isNotNull()).groupBy(spec.key).count().where("count > 1")
@@ -215,8 +222,8 @@ def load_dimensions(
             compared = stage.keep(name, close_changed(current, profile, spec))
             still, closing = split_versions(compared)
             inserts = new_versions(ended.unionByName(compared), profile, spec)
-            closed, _, inserted = store.revise(
-                table, ENDED, [(ENDED, closing), (CURRENT, still), (CURRENT, inserts)]
+            closed, _, inserted, *_ = store.revise(
+                table, ENDED, [(ENDED, closing), (CURRENT, still), (CURRENT, inserts), *moved]
             )
         rows = store.row_count(f"silver.{source}")
         extra = {

@@ -99,8 +99,17 @@ class TableStore:
     def read(self, table: str, batch: str | None = None) -> DataFrame:
         """The table, or the rows of one batch."""
         manifest = self._manifest(table)
-        schema = StructType.fromJson(manifest["schema"])
         parts = [p for p in manifest["parts"] if batch is None or p["batch"] == batch]
+        return self._rows(table, manifest, parts)
+
+    def read_other(self, table: str, batches: Sequence[str]) -> DataFrame | None:
+        """The rows of all parts that are of none of these batches; None if there are no such parts."""
+        manifest = self._manifest(table)
+        parts = [p for p in manifest["parts"] if p["batch"] not in batches]
+        return self._rows(table, manifest, parts) if parts else None
+
+    def _rows(self, table: str, manifest: dict, parts: Sequence[dict]) -> DataFrame:
+        schema = StructType.fromJson(manifest["schema"])
         paths = [f"{self.root}/{table}/{p['dir']}" for p in parts]
         if not paths:
             return self.spark.createDataFrame([], schema)

@@ -185,3 +185,21 @@ def test_ended_versions_stay_in_their_files(loaded):
     assert before
     loads.load_dimensions(store)
     assert ended() == before and store.row_count("gold.dim_customer") == rows
+
+
+def test_a_table_of_untagged_parts_keeps_its_history(spark, loaded, lake, tmp_path):
+    """A dimension that a full refresh wrote, ended versions included, is loaded like one of tagged parts."""
+    store, _ = loaded
+    other = TableStore(spark, str(tmp_path))
+    for source in {s for _, s in loads.DIMENSIONS.values()}:
+        other.replace(f"silver.{source}", store.read(f"silver.{source}"))
+    for name in loads.DIMENSIONS:
+        other.replace(f"gold.{name}", store.read(f"gold.{name}"))
+    assert other.read("gold.dim_customer").where("NOT is_current").count() > 0
+    for _ in range(2):
+        results = loads.load_dimensions(other)
+        for name in loads.DIMENSIONS:
+            table = f"gold.{name}"
+            assert state_difference(store.read(table), other.read(table)).count() == 0, name
+            assert {p["batch"] for p in other._manifest(table)["parts"]} <= {loads.CURRENT, loads.ENDED}
+            assert (results[name]["new_versions"], results[name]["closed_versions"]) == (0, 0)
