@@ -3,7 +3,7 @@
 A line's key is the line stripped of ASCII white space with A-Z lowered, as 128 bits of hash. An index holds, as
 tables in a folder,
 
-* ``references``: which document holds which key (needed to take a document back),
+* ``references``: which document holds which key, and in how many rows (needed to take a document back),
 * ``counts``: for each key the exact number of documents and the largest of them,
 * ``filters``: per shard of keys a cuckoo filter of the keys that repeat often enough to be dropped.
 
@@ -13,8 +13,8 @@ filters first: most lines are unique, and only those that pass are looked up in
 copied to several salts, so a line that a third of all documents hold is spread over tasks; filters come
 first in the sorted partitions and lines stream past them, so memory holds one filter and one batch.
 
-A document is a row: rows with one id count as that many documents, and a line stays in all rows of the
-largest id that holds it. A null id is smaller than any other. Null and empty texts are one empty line, which
+A document is an id: rows with one id count once, whether inserted together or later, and a line stays in all rows of the
+largest id that holds it. Rows without an id count as one document each; a null id is smaller than any other. Null and empty texts are one empty line, which
 never counts. Each change writes a new version of the tables and leaves the former one alone. Other columns
 of the input are not read by the index and come back unchanged from ``clean``.
 """
@@ -108,11 +108,16 @@ class LineIndex:
 
     @staticmethod
     def _counted(references: DataFrame) -> DataFrame:
-        return references.groupBy("shard", "key").agg(F.count("*").alias("n_docs"), F.max("doc").alias("holder"))
+        # A document has one reference for a key; rows without an id share one, but are a document each.
+        documents = F.when(F.col("doc").isNull(), F.col("n_rows")).otherwise(1)
+        return references.groupBy("shard", "key").agg(F.sum(documents).alias("n_docs"), F.max("doc").alias("holder"))
 
     def insert(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> LineIndex:
         new = self.version + 1
         rows = key_rows(docs, key, text, self.shards, self.min_chars)
+        rows = rows.groupBy("doc", "key", "shard").agg(F.count("*").alias("n_rows"))
+        if self.version:
+            rows = rows.join(self.table("references").select("doc", "key"), ["doc", "key"], "left_anti")
         added = self._save(new, "added" if self.version else "references", rows)
         counts = self._counted(added)
         if self.version == 0:

@@ -83,6 +83,23 @@ def test_documents_come_and_go(spark):
     assert cleaned(index, a.unionByName(b)) == plain.clean_lines(everything)
 
 
+def test_lines_of_repeated_rows(spark):
+    """Rows that share an id are one document, inserted together or one after the other."""
+
+    def docs(*ids):
+        return spark.createDataFrame([(i, SENTENCE) for i in ids], DOCS)
+
+    for index in (
+        lines.LineIndex(spark, shards=2).insert(docs(6, 9, 9)),
+        lines.LineIndex(spark, shards=2).insert(docs(6, 9)).insert(docs(9)),
+    ):
+        assert {r.doc_id: r.n_dropped for r in index.clean(docs(6, 9, 9)).select("row.doc_id", "result.n_dropped").collect()} == {6: 0, 9: 0}
+        index.insert(docs(7, 7))
+        assert index.table("counts").select("n_docs", "holder").collect() == [(3, 9)]
+        index.delete(docs(9).select("doc_id"))
+        assert index.table("counts").select("n_docs", "holder").collect() == [(2, 7)]
+
+
 def test_line_edge_rows(spark, edge, nothing):
     result = lines.dedup_lines(edge)
     assert result.columns == edge.columns
