@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, chat, decontaminate, lines, neardup, pii, quality, shards, token_counts, warc
+from siltstone.llm import bpe, chat, decontaminate, lines, neardup, pii, quality, shards, token_counts, token_files, warc
 from siltstone.session import shared_folder
 
 SHARDS = 24
@@ -118,6 +118,14 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{shared_folder(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    files = token_files.write_tokens(table(spark, folder, "documents"), path, tokenizer, end=0)
+    rows = files.read()
+    return rows.select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -136,6 +144,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_repetition,
         op9_rendezvous,
         op10_chat_format,
+        op13_token_files,
         pipeline,
     )
     return {f.__name__: f for f in own}
