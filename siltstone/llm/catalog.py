@@ -3,13 +3,29 @@
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, chat, decontaminate, lines, neardup, pii, quality, shards, token_counts, token_files, warc
+from siltstone.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    lines,
+    neardup,
+    pii,
+    quality,
+    runs,
+    shards,
+    token_counts,
+    token_files,
+    warc,
+)
+from siltstone.llm.common import strings
 from siltstone.session import shared_folder
 
 SHARDS = 24
@@ -118,6 +134,38 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@F.arrow_udf("string")
+def with_planted_runs(keys: pa.Array, texts: pa.Array) -> pa.Array:
+    """In one text of ten, chosen by the key's checksum, the words repeat themselves from some place on."""
+    out = []
+    for key, text in zip(keys.to_pylist(), strings(texts), strict=True):
+        g, chosen = divmod(zlib.crc32(str(key).encode()), 10)
+        words = runs.words_of(text) if chosen == 0 and key is not None else []
+        if words:
+            n = len(words)
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words[a:] = [words[a + i % p] for i in range(n - a)]
+            text = b" ".join(words).decode("utf-8", "surrogatepass")
+        out.append(text)
+    return pa.array(out, pa.string())
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", with_planted_runs("doc_id", "text").alias("text"))
+    rows = runs.find(docs).select("doc_id", "found.*", runs.densest(F.col("found.runs")).alias("best"))
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        runs.digest(F.col("runs")).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
@@ -144,6 +192,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_repetition,
         op9_rendezvous,
         op10_chat_format,
+        op11_periodic_runs,
         op13_token_files,
         pipeline,
     )

@@ -20,6 +20,10 @@ def lower(text: str) -> str:
     return re.sub("[A-Z]+", lambda m: m[0].lower(), text)
 
 
+def ascii_words(text: str | None) -> list[str]:
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
 def byte_bpe():
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}

@@ -25,7 +25,7 @@ def oracle():
 
 def test_names():
     assert set(SQL) < set(queries())
-    assert {n.split("_")[0] for n in queries()} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in queries()} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
