@@ -10,6 +10,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.llm import (
     bpe,
@@ -17,6 +18,7 @@ from siltstone.llm import (
     decontaminate,
     lines,
     neardup,
+    negatives,
     pii,
     quality,
     runs,
@@ -134,7 +136,7 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def with_planted_runs(keys: pa.Array, texts: pa.Array) -> pa.Array:
     """In one text of ten, chosen by the key's checksum, the words repeat themselves from some place on."""
     out = []
@@ -166,6 +168,13 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "embeddings").select("vec_id", "label", "embedding")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.mine(given.withColumn("label", label), F.col("vec_id") % 100 == 0)
+    return rows.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
@@ -193,6 +202,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_rendezvous,
         op10_chat_format,
         op11_periodic_runs,
+        op12_hard_negatives,
         op13_token_files,
         pipeline,
     )
