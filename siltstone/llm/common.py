@@ -41,5 +41,7 @@ def written(rows: DataFrame, what: str) -> DataFrame:
 class Scratch(Stage):
     """Tables that only the steps of one call read. ``remove`` frees their space once the last of them has run."""
 
-    def written(self, rows: DataFrame, what: str) -> DataFrame:
-        return self.keep(f"{what}-{uuid.uuid4().hex}", rows)
+    def written(self, rows: DataFrame, what: str, **options: str) -> DataFrame:
+        path = f"{self.root}/{what}-{uuid.uuid4().hex}"
+        rows.write.options(**options).parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)

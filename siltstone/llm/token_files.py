@@ -21,7 +21,6 @@ import json
 import os
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +33,7 @@ from pyspark.sql import functions as F
 from siltstone.llm.bpe import Splitter
 from siltstone.llm.common import Scratch, small_batches, strings
 
-FILE_BYTES, FILE_DOCUMENTS = 128 << 20, 4_000_000
+FILE_BYTES, FILE_DOCUMENTS = 32 << 20, 4_000_000
 # Pre-tokens a worker remembers, those longer than this apart.
 REMEMBERED, REMEMBERED_LENGTH = 500_000, 64
 MAX_FILE = 64 << 20
@@ -71,13 +70,18 @@ class Encoder:
         whole = [self.split is None or any(a in t for a in self.added) for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
+        known, get = self.known, self.known.get
         words = [() if w else self.split(t) for t, w in zip(texts, whole, strict=True)]
-        new = [w for w in set(chain.from_iterable(words)) if w not in self.known]
-        self.known.update(zip(new, self._encode(new), strict=True))
-        out = [b"".join(map(self.known.__getitem__, w)) for w in words]
+        found = [list(map(get, w)) for w in words]
+        late = [k for k, ids in enumerate(found) if None in ids]
+        new = list({w for k in late for w, ids in zip(words[k], found[k], strict=True) if ids is None})
+        known.update(zip(new, self._encode(new), strict=True))
+        for k in late:
+            found[k] = map(get, words[k])
+        out = list(map(b"".join, found))
         for w in new:
             if len(w) > REMEMBERED_LENGTH:
-                del self.known[w]
+                del known[w]
         for k in np.flatnonzero(whole).tolist():
             out[k] = self._encode([texts[k]])[0]
         return out
@@ -178,7 +182,7 @@ def write_tokens(
     largest = max(tokenizers.Tokenizer.from_buffer(file).get_vocab(with_added_tokens=True).values(), default=0)
     item = item_type(max(end, largest))
     with Scratch(spark) as scratch:
-        encoded = scratch.written(encode(docs, file, end, item, key, text), "ids")
+        encoded = scratch.written(encode(docs, file, end, item, key, text), "ids", compression="zstd")
         held, rows = encoded.agg(F.sum(F.octet_length("ids")), F.count("*")).first()
         parts = max(spark.sparkContext.defaultParallelism, -(-(held or 0) // file_bytes), -(-rows // file_documents))
         # Many rows of one key are told apart by their ids, and equal ones by a number that a re-run draws again.
