@@ -5,12 +5,12 @@ integers (16 bits if the vocabulary allows it, else 32), ``kind=index`` one reco
 whether it has one, first id within the file) and a last one that holds the number of ids, and ``_layout`` a small table of the
 files with their bases: how many ids and documents come before a file. Documents stand in ascending order of their keys.
 
-Texts are encoded once and written as a table. Their ids are dealt into ranges of keys, each range is sorted and becomes one
-pair of files, and the bases are the prefix sums over the files' sizes. No task holds more than a batch of a range. The bytes
+Texts are dealt into ranges of keys; each range is sorted, encoded and becomes one pair of files, and the bases are the prefix
+sums over the files' sizes. No task holds more than a batch of a range. The bytes
 leave Spark through its text writer, so they reach any file system: a line ends with a zero byte, and each row ends where
 the data have one anyway. A file of ids ends with an item of padding, which no document counts.
 
-Null and empty texts have no ids but the end id. A null key is a key that comes first. Rows of one key are ordered by their ids and
+Null and empty texts have no ids but the end id. A null key is a key that comes first. Rows of one key are ordered by a hash of their texts and
 spread over several ranges if they are many; repeated rows are documents of their own. Only the key (an integer) and the
 text are read, so other columns cannot clash. An empty table gives an empty data set.
 """
@@ -26,14 +26,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import tokenizers
-from pyspark import TaskContext
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.bpe import Splitter
-from siltstone.llm.common import Scratch, small_batches, strings
+from siltstone.llm.common import small_batches, strings
 
-FILE_BYTES, FILE_DOCUMENTS = 32 << 20, 4_000_000
+# Texts that make one pair of files.
+TEXT_BYTES, FILE_DOCUMENTS = 32 << 20, 4_000_000
 # Pre-tokens a worker remembers, those longer than this apart.
 REMEMBERED, REMEMBERED_LENGTH = 500_000, 64
 MAX_FILE = 64 << 20
@@ -96,24 +97,6 @@ def item_type(largest: int) -> np.dtype:
     return np.dtype("<u2" if largest < 1 << 16 else "<u4")
 
 
-def encode(docs: DataFrame, file: bytes, end: int, item: np.dtype, key: str, text: str) -> DataFrame:
-    """(key, ids): the ids of each document and the end id, as bytes of ``item``."""
-    small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(file)
-    last, kind = np.array([end], item).tobytes(), item.str
-
-    @F.arrow_udf("binary")
-    def ids(column: pa.Array) -> pa.Array:
-        encoder = _encoder(shared.value)
-        wide = np.dtype(kind) != encoder.item
-        found = encoder(strings(column))
-        if wide:
-            found = [np.frombuffer(x, encoder.item).astype(kind).tobytes() for x in found]
-        return pa.array([x + last for x in found], pa.binary())
-
-    return docs.select(F.col(key).cast("bigint").alias("key"), ids(F.col(text)).alias("ids"))
-
-
 class _Lines:
     """Cuts a stream of bytes into rows: each ends before a zero byte, which the writer puts back."""
 
@@ -129,30 +112,29 @@ class _Lines:
             yield self.kind, self.n, data[:at]
 
 
-def _laid_out(item: np.dtype):
-    """A sorted range of documents as rows of its two files."""
-    kind, size = item.str, item.itemsize
+def _laid_out(shared: Broadcast, end: int, item: np.dtype):
+    """A sorted range of texts as rows of its two files."""
+    kind, size, last_id = item.str, item.itemsize, np.array([end], item).tobytes()
 
     def lay_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, index, held = _Lines("ids"), _Lines("index"), 0
-        part = TaskContext.get().partitionId()
+        ids, index, held, encoder = _Lines("ids"), _Lines("index"), 0, _encoder(shared.value)
 
         def batch(rows):
             columns = list(zip(*rows, strict=True)) or [(), (), ()]
             arrays = [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.binary()), strict=True)]
-            return pa.RecordBatch.from_arrays(
-                [*arrays, pa.array([part] * len(columns[0]), pa.int32())], names=["kind", "n", "value", "part"]
-            )
+            return pa.RecordBatch.from_arrays(arrays, names=["kind", "n", "value"])
 
         for given in batches:
-            values = given.column("ids")
-            sizes = np.fromiter(map(len, map(pa.BinaryScalar.as_buffer, values)), np.int64, len(values)) // size
+            values = encoder(strings(given.column("text")))
+            if encoder.item != item:
+                values = [np.frombuffer(v, encoder.item).astype(kind).tobytes() for v in values]
+            sizes = np.fromiter(map(len, values), np.int64, len(values)) // size + 1
             records = np.zeros(len(values), RECORD)
             records["key"] = given.column("key").fill_null(0).to_numpy(zero_copy_only=False)
             records["has_key"] = given.column("key").is_valid().to_numpy(zero_copy_only=False)
             records["start"] = held + np.cumsum(sizes) - sizes
             held += int(sizes.sum())
-            yield batch([*ids.rows(b"".join(values.to_pylist())), *index.rows(records.tobytes())])
+            yield batch([*ids.rows(b"".join([x for v in values for x in (v, last_id)])), *index.rows(records.tobytes())])
         if held:
             last = np.zeros(1, RECORD)
             last["start"] = held
@@ -168,11 +150,12 @@ def write_tokens(
     end: int = 0,
     key: str = "doc_id",
     text: str = "text",
-    file_bytes: int = FILE_BYTES,
+    text_bytes: int = TEXT_BYTES,
     file_documents: int = FILE_DOCUMENTS,
 ) -> TokenFiles:
     """Encode documents with a tokenizer file of the library and write the data set ``folder``."""
     spark = docs.sparkSession
+    small_batches(spark)
     if docs.schema[key].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):
         raise ValueError(f"{key} is not an integer")
     with open(tokenizer, "rb") as f:
@@ -181,17 +164,16 @@ def write_tokens(
         raise ValueError(f"{tokenizer} is too large for a tokenizer")
     largest = max(tokenizers.Tokenizer.from_buffer(file).get_vocab(with_added_tokens=True).values(), default=0)
     item = item_type(max(end, largest))
-    with Scratch(spark) as scratch:
-        encoded = scratch.written(encode(docs, file, end, item, key, text), "ids", compression="zstd")
-        held, rows = encoded.agg(F.sum(F.octet_length("ids")), F.count("*")).first()
-        parts = max(spark.sparkContext.defaultParallelism, -(-(held or 0) // file_bytes), -(-rows // file_documents))
-        # Many rows of one key are told apart by their ids, and equal ones by a number that a re-run draws again.
-        order = [F.col("key"), F.xxhash64("ids")]
-        ranges = encoded.repartitionByRange(parts, *order, F.rand(13)).sortWithinPartitions(*order)
-        lines = ranges.mapInArrow(_laid_out(item), "kind string, n bigint, value binary, part int")
-        lines = lines.sortWithinPartitions("kind", "n")
-        lines = lines.select("kind", F.col("value").cast("string").alias("value"))
-        lines.write.partitionBy("kind").option("lineSep", LINE_END.decode()).text(folder)
+    texts = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
+    held, rows = texts.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    parts = max(spark.sparkContext.defaultParallelism, -(-(held or 0) // text_bytes), -(-rows // file_documents))
+    # Many rows of one key are told apart by their texts, and equal ones by a number that a re-run draws again.
+    order = [F.col("key"), F.xxhash64("text")]
+    ranges = texts.repartitionByRange(parts, *order, F.rand(13)).sortWithinPartitions(*order)
+    lay_out = _laid_out(spark.sparkContext.broadcast(file), end, item)
+    lines = ranges.mapInArrow(lay_out, "kind string, n bigint, value binary").sortWithinPartitions("kind", "n")
+    lines = lines.select("kind", F.col("value").cast("string").alias("value"))
+    lines.write.partitionBy("kind").option("lineSep", LINE_END.decode()).text(folder)
     files = TokenFiles(spark, folder)
     files.write_layout(item, end)
     return files

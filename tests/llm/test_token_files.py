@@ -52,7 +52,7 @@ def test_edge_texts(edge, spark, library, tmp_path, end):
     """Also with end ids that have no zero byte, or need 32 bits; and a null key."""
     rows = edge.unionByName(edge.where("doc_id = 6").selectExpr("null AS doc_id", "text", *CLASHING_NAMES))
     folder = str(tmp_path / "tokens")
-    files = token_files.write_tokens(rows, folder, PATH, end=end, file_bytes=4096)
+    files = token_files.write_tokens(rows, folder, PATH, end=end, text_bytes=4096)
     found = files.read().selectExpr("key", "start", "n_tokens", "crc32(ids)").collect()
     texts = [*EDGE, (None, dict(EDGE)[6])]
     order = sorted(map(tuple, found), key=lambda r: (r[1], r[0] or 0))
