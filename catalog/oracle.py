@@ -301,6 +301,139 @@ _SILVER: dict[str, tuple[dict[str, str], list[str]]] = {
     ),
 }
 
+# What newest versions are checked for, in order: columns that must be there, then conditions, then parents.
+_PAST_DAY, _PAST = "{0} <= CAST({{now}} AS DATE)", "{0} <= {{now}}"
+_CHANGE_TIMES = [
+    ("created_at in the future", _PAST.format("created_at")),
+    ("updated_at in the future", _PAST.format("updated_at")),
+    ("updated_at before created_at", "updated_at >= created_at"),
+]
+_CUSTOMER, _CONTENT = ("customer_id", "customer", False), ("content_id", "content", False)
+_CHECKS: dict[str, tuple[str, list[tuple[str, str]], list[tuple[str, str, bool]]]] = {
+    "country": ("country_name", [("country_code not of length 2", "length(country_code) = 2")], []),
+    "city": ("country_id city_name", [], [("country_id", "country", False)]),
+    "customer": (
+        "customer_no first_name last_name",
+        [
+            ("date_of_birth in the future", _PAST_DAY.format("date_of_birth")),
+            ("registration_date in the future", _PAST_DAY.format("registration_date")),
+            ("registration_date before date_of_birth", "registration_date >= date_of_birth"),
+        ],
+        [],
+    ),
+    "customer_address": ("customer_id address_line", _CHANGE_TIMES, [_CUSTOMER, ("city_id", "city", True)]),
+    "content_type": ("content_type", _CHANGE_TIMES, []),
+    "content": (
+        "title content_type_id release_date",
+        [
+            ("release_date in the future", _PAST_DAY.format("release_date")),
+            ("duration_minutes negative", "duration_minutes >= 0"),
+            *_CHANGE_TIMES,
+        ],
+        [("content_type_id", "content_type", False)],
+    ),
+    "genre": ("genre_name", _CHANGE_TIMES, []),
+    "content_genre": ("", _CHANGE_TIMES, [_CONTENT, ("genre_id", "genre", False)]),
+    "streaming_session": (
+        "customer_id content_id start_time",
+        [
+            ("end_time before start_time", "end_time >= start_time"),
+            ("watch_duration negative", "watch_duration >= 0"),
+            ("completion_percentage not in 0..100", "completion_percentage BETWEEN 0 AND 100"),
+            *_CHANGE_TIMES,
+        ],
+        [_CUSTOMER, _CONTENT],
+    ),
+    "review": (
+        "customer_id content_id rating review_date",
+        [
+            ("rating not in 0..5", "rating BETWEEN 0 AND 5"),
+            ("review_date in the future", _PAST.format("review_date")),
+            *_CHANGE_TIMES,
+        ],
+        [_CUSTOMER, _CONTENT],
+    ),
+    "wishlist": (
+        "customer_id content_id added_date",
+        [("added_date in the future", _PAST.format("added_date")), *_CHANGE_TIMES],
+        [_CUSTOMER, _CONTENT],
+    ),
+    "warehouse": ("", _CHANGE_TIMES, [("city_id", "city", True)]),
+    "inventory_item": (
+        "content_id warehouse_id barcode item_condition status",
+        [("purchase_date in the future", _PAST_DAY.format("purchase_date")), *_CHANGE_TIMES],
+        [_CONTENT, ("warehouse_id", "warehouse", False)],
+    ),
+    "rental": (
+        "customer_id inventory_id rental_date due_date rental_fee status",
+        [
+            ("rental_date in the future", _PAST_DAY.format("rental_date")),
+            ("due_date before rental_date", "due_date >= rental_date"),
+            ("return_date before rental_date", "return_date >= rental_date"),
+            ("rental_fee negative", "rental_fee >= 0"),
+            ("late_fee negative", "late_fee >= 0"),
+            *_CHANGE_TIMES,
+        ],
+        [_CUSTOMER, ("inventory_id", "inventory_item", False)],
+    ),
+    "payment": (
+        "customer_id amount payment_date payment_type status",
+        [
+            ("payment_date in the future", _PAST.format("payment_date")),
+            ("amount negative", "amount >= 0"),
+            *_CHANGE_TIMES,
+        ],
+        [_CUSTOMER, ("rental_id", "rental", True)],
+    ),
+    "support_ticket": (
+        "customer_id opened_date priority status",
+        [
+            ("opened_date in the future", _PAST.format("opened_date")),
+            ("closed_date before opened_date", "closed_date >= opened_date"),
+            ("closed_date in the future", _PAST.format("closed_date")),
+            *_CHANGE_TIMES,
+        ],
+        [_CUSTOMER],
+    ),
+}
+
+
+def _reject_sql() -> str:
+    parts = []
+    for table, (required, conditions, parents) in _CHECKS.items():
+        key = ("content_id", "genre_id") if table == "content_genre" else COLUMNS[table][:1]
+        has_key = " AND ".join(f"{k} IS NOT NULL" for k in key)
+        ties = ", ".join(f"{c} ASC NULLS FIRST" for c in (*[c for c in COLUMNS[table] if c not in key], "source_system"))
+        replaced = ", ".join(f"{sql} AS {c}" for c, sql in _SILVER[table][0].items())
+        cases = []
+        if table == "inventory_item":
+            cases.append(("barcode shared", "barcode IN (SELECT barcode FROM n GROUP BY barcode HAVING count(*) > 1)"))
+        cases += [(f"{c} missing", f"{c} IS NULL") for c in required.split()]
+        cases += [(name, f"NOT ({sql})") for name, sql in conditions]
+        for column, parent, optional in parents:
+            unknown = f"NOT EXISTS (SELECT 1 FROM silver2_{parent} AS p WHERE p.{column} = n.{column})"
+            cases.append((f"{column} unknown", f"{column} IS NOT NULL AND {unknown}" if optional else unknown))
+        case = " ".join(f"WHEN {sql} THEN '{name}'" for name, sql in cases).format(now=SECOND_LOAD)
+        key_text = ", ".join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in key)
+        times = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in LINEAGE[:3])
+        columns = f"'{table}' AS table_name, concat_ws(',', {key_text}) AS row_key, {{}} AS reason, {times}"
+        early = f"CASE WHEN {has_key} THEN 'superseded' ELSE 'key missing' END"
+        parts.append(f"""
+            SELECT * FROM (
+                WITH v AS (
+                    SELECT *, row_number() OVER (PARTITION BY {', '.join(key)} ORDER BY updated_at DESC NULLS LAST,
+                        created_at DESC NULLS LAST, load_timestamp DESC NULLS FIRST, {ties}) AS place
+                    FROM bronze2_{table}
+                ), n AS (
+                    SELECT * {f'REPLACE ({replaced})' if replaced else ''} FROM v WHERE {has_key} AND place = 1
+                )
+                SELECT {columns.format(early)} FROM v WHERE NOT ({has_key}) OR place > 1
+                UNION ALL
+                SELECT * FROM (SELECT {columns.format(f"CASE {case} END")} FROM n) AS judged WHERE reason IS NOT NULL
+            ) AS {table}_rejects""")
+    return " UNION ALL ".join(parts)
+
+
 RELATIONS: dict[str, str] = {}
 
 
@@ -823,6 +956,11 @@ def oracle_queries() -> dict[str, str]:
         queries[f"dim_{name}"] = rows_of(f"dim1_{name}", dimension_columns(name))
         queries[f"dim_{name}_second_load"] = rows_of(f"dim2_{name}", dimension_columns(name))
         queries[f"dim_{name}_latest"] = rows_of(f"latest2_{name}", dimension_columns(name))
+    queries["reject_reasons"] = with_relations(_reject_sql())
+    queries["reject_counts"] = with_relations(
+        "SELECT table_name, reason, CAST(count(*) AS BIGINT) AS counted, CAST(count(*) AS BIGINT) AS stored"
+        f" FROM ({_reject_sql()}) AS r GROUP BY table_name, reason"
+    )
     queries["scd2_changes"] = with_relations(_change_sql())
     queries["dim_date"] = with_relations(
         "SELECT date_key, CAST(full_date AS VARCHAR) AS full_date, day FROM calendar"

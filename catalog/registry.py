@@ -15,6 +15,7 @@ from siltstone.operators.asof import as_of_join
 from siltstone.operators.calendar import DAY, MONTH, dim_date, spine, spine_size
 from siltstone.operators.cleanse import cleanse
 from siltstone.operators.densify import sum_contributions
+from siltstone.operators.rejects import reject_reasons
 from siltstone.operators.scd2 import scd2_changes, scd2_merge
 from siltstone.plans import facts, loads
 from siltstone.plans.dimensions import DIMENSIONS, empty_dimension
@@ -221,6 +222,29 @@ def _replace_unless_empty(w: Warehouse) -> DataFrame:
     return store.read("silver.content")
 
 
+def _rejects(w: Warehouse) -> DataFrame:
+    """The dropped rows of all tables."""
+    parts = []
+    for name, spec in SPECS.items():
+        bronze = w.keep(f"bronze2_{name}", lambda name=name: w.bronze(name, 2))
+        parts.append(reject_reasons(bronze, spec, w.silver(), NOW))
+    return _union(parts)
+
+
+def _reject_counts(w: Warehouse) -> DataFrame:
+    """The load of rejects through a store: what the writes have counted, beside the rows they have left."""
+    store = _store(w)
+    for t in SOURCE_TABLES:
+        store.replace(f"bronze.{t}", w.keep(f"bronze2_{t}", lambda t=t: w.bronze(t, 2)))
+        store.replace(f"silver.{t}", w.silver()[t])
+    found = loads.load_rejects(store, NOW)
+    rows = [(t, reason, n) for t, counts in found.items() for reason, n in counts.items()]
+    counted = w.spark.createDataFrame(rows, "table_name string, reason string, counted bigint")
+    stored = _union([store.read(f"rejects.{t}") for t in SOURCE_TABLES])
+    kept = stored.groupBy("table_name", "reason").agg(F.count("*").alias("stored"))
+    return counted.join(kept, ["table_name", "reason"], "full")
+
+
 # -- dimensions --------------------------------------------------------------
 
 
@@ -398,6 +422,8 @@ def builders() -> dict[str, Callable[[Warehouse], DataFrame]]:
         "bronze_append_rerun": _append_rerun,
         "fact_refresh": _fact_refresh,
         "replace_unless_empty": _replace_unless_empty,
+        "reject_reasons": _rejects,
+        "reject_counts": _reject_counts,
         "scd2_changes": _changes,
         "dim_date": _dim_date,
         "spine_customer_day": _spine(

@@ -39,6 +39,10 @@ class TableSpec:
     references: tuple[Reference, ...] = ()
     unique: str | None = None
 
+    @property
+    def row_rules(self) -> tuple[Rule, ...]:
+        return (*map(present, self.required), *self.rules)
+
     @property
     def parents(self) -> tuple[str, ...]:
         return tuple(r.parent for r in self.references)
@@ -53,20 +57,23 @@ def cleanse(
     dropped and no older version takes its place. Row rules run before the
     reference joins, so rejected rows are not shuffled for them.
     """
-    rows = latest_version(bronze, spec.key)
-    rows = rows.select(
-        *spec.key,
-        *[
-            spec.clean[c](F.col(c)).alias(c) if c in spec.clean else F.col(c)
-            for c in spec.columns
-            if c not in spec.key
-        ],
-        *LINEAGE,
-    )
+    return accepted(cleaned(latest_version(bronze, spec.key), spec), spec, parents, as_of)
+
+
+def cleaned(rows: DataFrame, spec: TableSpec, *more: str) -> DataFrame:
+    """The table's columns with their texts cleansed, and those named in ``more`` as they are."""
+    texts = [spec.clean[c](F.col(c)).alias(c) if c in spec.clean else F.col(c) for c in spec.columns]
+    return rows.select(*texts, *LINEAGE, *more)
+
+
+def accepted(
+    rows: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame], as_of: AsOf
+) -> DataFrame:
+    """Those of the cleansed newest versions that pass all rules."""
     if spec.unique:
         # Compares all newest versions, also those that fail another rule.
         rows = unique_only(rows, spec.unique)
-    for rule in (*map(present, spec.required), *spec.rules):
+    for rule in spec.row_rules:
         rows = rows.where(rule(as_of))
     for reference in spec.references:
         rows = check_reference(rows, spec.key, reference, parents[reference.parent])

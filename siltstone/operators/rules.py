@@ -1,18 +1,28 @@
-"""Row rules as data: each takes the load's "now" and gives a boolean column."""
+"""Row rules as data: each takes the load's "now" and gives a boolean column, and names what breaks it."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
 from siltstone.functions.dates import AsOf
 
-Rule = Callable[[AsOf], Column]
+
+@dataclass(frozen=True)
+class Rule:
+    """``broken`` says what is wrong with a row on which the test is false or NULL."""
+
+    broken: str
+    test: Callable[[AsOf], Column]
+
+    def __call__(self, as_of: AsOf) -> Column:
+        return self.test(as_of)
 
 
 def present(column: str) -> Rule:
-    return lambda as_of: F.col(column).isNotNull()
+    return Rule(f"{column} missing", lambda as_of: F.col(column).isNotNull())
 
 
 def _or_null(column: str, test: Column) -> Column:
@@ -21,29 +31,32 @@ def _or_null(column: str, test: Column) -> Column:
 
 def moment_passed(column: str) -> Rule:
     """NULL, or a timestamp that is not in the future."""
-    return lambda as_of: _or_null(column, F.col(column) <= as_of.timestamp)
+    return Rule(f"{column} in the future", lambda as_of: _or_null(column, F.col(column) <= as_of.timestamp))
 
 
 def day_passed(column: str) -> Rule:
     """NULL, or a date that is not in the future."""
-    return lambda as_of: _or_null(column, F.col(column) <= as_of.date)
+    return Rule(f"{column} in the future", lambda as_of: _or_null(column, F.col(column) <= as_of.date))
 
 
 def in_order(earlier: str, later: str) -> Rule:
     """``later >= earlier`` unless one of them is NULL."""
-    return lambda as_of: F.coalesce(F.col(later) >= F.col(earlier), F.lit(True))
+    return Rule(
+        f"{later} before {earlier}",
+        lambda as_of: F.coalesce(F.col(later) >= F.col(earlier), F.lit(True)),
+    )
 
 
 def not_negative(column: str) -> Rule:
-    return lambda as_of: _or_null(column, F.col(column) >= 0)
+    return Rule(f"{column} negative", lambda as_of: _or_null(column, F.col(column) >= 0))
 
 
 def within(column: str, low: int, high: int) -> Rule:
-    return lambda as_of: _or_null(column, F.col(column).between(low, high))
+    return Rule(f"{column} not in {low}..{high}", lambda as_of: _or_null(column, F.col(column).between(low, high)))
 
 
 def code_of_length(column: str, length: int) -> Rule:
-    return lambda as_of: _or_null(column, F.length(column) == length)
+    return Rule(f"{column} not of length {length}", lambda as_of: _or_null(column, F.length(column) == length))
 
 
 def sane_change_times() -> tuple[Rule, ...]:

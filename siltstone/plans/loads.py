@@ -25,6 +25,7 @@ from siltstone.operators.audit import (
 )
 from siltstone.operators.calendar import dim_date, spanning, spine_size
 from siltstone.operators.cleanse import cleanse
+from siltstone.operators.rejects import by_reason, counted, reject_reasons
 from siltstone.operators.scd2 import (
     close_changed,
     new_versions,
@@ -189,6 +190,23 @@ def load_silver(store: TableStore, as_of: AsOf, parallel: int = PARALLEL) -> Res
     return results | done
 
 
+def load_rejects(store: TableStore, as_of: AsOf, parallel: int = PARALLEL) -> dict[str, dict[str, int]]:
+    """Write the rows that Silver has dropped, with their reasons; gives the number of each reason per table.
+
+    To be run after ``load_silver`` with the same moment. A table's numbers add up to its Bronze rows
+    less its Silver rows; they are counted while the rows are written.
+    """
+    silver = silver_layer(store)
+
+    def load(name: str) -> dict[str, int]:
+        spec = SPECS[name]
+        found, seen = counted(reject_reasons(store.read(f"bronze.{name}"), spec, silver, as_of), spec)
+        store.replace(f"rejects.{name}", found)
+        return by_reason(seen, spec)
+
+    return _each(SPECS, load, parallel)
+
+
 def load_dimensions(
     store: TableStore, on_duplicate: str = "keep_all", parallel: int = PARALLEL
 ) -> Results:
