@@ -934,6 +934,26 @@ def _change_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _key(table: str) -> tuple[str, ...]:
+    return ("content_id", "genre_id") if table == "content_genre" else COLUMNS[table][:1]
+
+
+_FRACTIONS = DECIMALS | {"average_customer_rating"}
+
+
+def _digest_sql(tables: dict[str, tuple[str, tuple[str, ...], tuple[str, ...]]]) -> str:
+    """Table name, key and digest of the rows of relations; fractions are left out."""
+    parts = []
+    for name, (relation, columns, key) in tables.items():
+        text = ", ".join(f"'{c}=' || coalesce(CAST({c} AS VARCHAR), 'NULL')" for c in sorted(set(columns) - _FRACTIONS))
+        keys = ", ".join(f"coalesce(CAST({k} AS VARCHAR), 'NULL')" for k in key)
+        parts.append(
+            f"SELECT '{name}' AS table_name, concat_ws(',', {keys}) AS row_key,"
+            f" md5(concat_ws('|', {text})) AS row_digest FROM {relation}"
+        )
+    return " UNION ALL ".join(parts)
+
+
 def oracle_queries() -> dict[str, str]:
     queries: dict[str, str] = {}
     for table in SOURCE_TABLES:
@@ -947,9 +967,19 @@ def oracle_queries() -> dict[str, str]:
             for t in SOURCE_TABLES
         )
     )
-    queries["bronze_append"] = rows_of("bronze2_rental", (*COLUMNS["rental"], *LINEAGE))
+    stored = {t: (f"bronze2_{t}", (*COLUMNS[t], *LINEAGE), _key(t)) for t in SOURCE_TABLES}
+    queries["bronze_append"] = with_relations(_digest_sql(stored))
     queries["bronze_append_rerun"] = queries["bronze_append"]
-    queries["replace_unless_empty"] = rows_of("silver2_content", (*COLUMNS["content"], *LINEAGE))
+    stored = {t: (f"silver2_{t}", columns, key) for t, (_, columns, key) in stored.items()}
+    queries["replace_unless_empty"] = with_relations(_digest_sql(stored))
+    queries["dim_loads"] = with_relations(
+        " UNION ALL ".join(
+            f"SELECT 'dim_{d}' AS dimension, {surrogate} AS version_key, CAST({key} AS VARCHAR) AS business_key,"
+            " CAST(effective_from AS VARCHAR) AS effective_from, CAST(effective_to AS VARCHAR) AS effective_to,"
+            f" is_current FROM dim2_{d}"
+            for d, (surrogate, key, _, _) in _DIMENSIONS.items()
+        )
+    )
     for name, columns in PROFILE_COLUMNS.items():
         queries[f"profile_{name}"] = rows_of(f"profile2_{name}", (*columns, *LINEAGE))
     for name in _DIMENSIONS:
@@ -1005,8 +1035,14 @@ def oracle_queries() -> dict[str, str]:
     }
     for name, (relation, columns) in plain.items():
         queries[name] = rows_of(relation, tuple(columns.split()))
-    refreshed = f"SELECT *, CAST(0 AS INT) AS rows_after_empty_refresh FROM ({queries['fact_customer_daily_activity']})"
-    queries["fact_refresh"] = refreshed
+    refreshed = {
+        name: (plain[name][0], tuple(plain[name][1].split()), tuple(plain[name][1].split()[:2]))
+        for name in plain
+        if name.startswith("fact_")
+    }
+    queries["fact_refresh"] = with_relations(
+        f"SELECT *, CAST(0 AS INT) AS rows_after_empty_refresh FROM ({_digest_sql(refreshed)}) AS d"
+    )
     for name, sql in {**_audit_sql(), **_check_sql()}.items():
         queries[name] = with_relations(sql)
     return queries

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -180,46 +180,88 @@ def _store(w: Warehouse) -> TableStore:
     return TableStore(w.spark, Stage(w.spark).root)
 
 
+def _digested(stored: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """Table name, key and a digest of each row; digests compare texts of values, so that any engine can make them."""
+    parts = []
+    for name, (rows, key) in stored.items():
+        shown = comparable(rows)
+        text = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("NULL"))) for c in sorted(_plain(rows))]
+        parts.append(
+            shown.select(
+                F.lit(name).alias("table_name"),
+                F.concat_ws(",", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in key]).alias("row_key"),
+                F.md5(F.concat_ws("|", *text).cast("binary")).alias("row_digest"),
+            )
+        )
+    return _union(parts)
+
+
+def _plain(rows: DataFrame) -> list[str]:
+    """Columns whose values every engine writes alike: fractions differ in their last digits."""
+    return [c for c, kind in rows.dtypes if not kind.startswith(("decimal", "double"))]
+
+
+def _stored(store: TableStore, layer: str, names: Iterable[str]) -> DataFrame:
+    return _digested({t: (store.read(f"{layer}.{t}"), SPECS[t].key) for t in names})
+
+
 def _append(w: Warehouse) -> DataFrame:
-    """Full load, then a delta whose columns come in another order."""
+    """Every table: a full load, then a delta whose columns come in another order."""
     store = _store(w)
-    store.replace_unless_empty("bronze.rental", w.bronze_full("rental"))
-    delta = w.bronze_delta("rental")
-    store.append("bronze.rental", delta.select(*reversed(delta.columns)))
-    return store.read("bronze.rental")
+    for t in SOURCE_TABLES:
+        store.replace_unless_empty(f"bronze.{t}", w.bronze_full(t))
+        delta = w.bronze_delta(t)
+        store.append(f"bronze.{t}", delta.select(*reversed(delta.columns)))
+    return _stored(store, "bronze", SOURCE_TABLES)
 
 
 def _append_rerun(w: Warehouse) -> DataFrame:
-    """A batch, the same batch again after the source has grown, and an empty repeat of it."""
-    store, sources = _store(w), {"rental": w.source("rental", 2)}
-    early = {"rental": sources["rental"].where("rental_id % 3 <> 0")}
-    loads.load_bronze_full(store, {"rental": w.source("rental", 1)}, LOADS[1], SOURCE_SYSTEM)
+    """Every table: a batch, the same batch again after the source has grown, and an empty repeat of it."""
+    store, sources = _store(w), {t: w.source(t, 2) for t in SOURCE_TABLES}
+    early = {t: rows.where(F.pmod(F.xxhash64(*SPECS[t].key), F.lit(3)) != 0) for t, rows in sources.items()}
+    loads.load_bronze_full(store, {t: w.source(t, 1) for t in SOURCE_TABLES}, LOADS[1], SOURCE_SYSTEM)
     for source in (early, sources, sources):
         loads.load_bronze_delta(store, source, NOW.ts, NOW, SOURCE_SYSTEM, batch="day 2")
-    return store.read("bronze.rental")
+    return _stored(store, "bronze", SOURCE_TABLES)
 
 
 def _fact_refresh(w: Warehouse) -> DataFrame:
-    """Facts and dimensions refreshed over an older content, an empty one and in two writes."""
-    store, name = _store(w), "fact_customer_daily_activity"
-    fact = w.fact(name)
-    store.replace(name, fact.where("date_key % 2 = 0"))
-    store.replace(name, fact.where("false"))
-    emptied = store.row_count(name)
-    store.replace_in_two(
-        name,
-        fact.where("date_key < 20240101"),
-        lambda first: fact.join(first.select("date_key").distinct(), "date_key", "left_anti"),
-    )
-    return store.read(name).withColumn("rows_after_empty_refresh", F.lit(emptied))
+    """Every fact refreshed over an older content and an empty one."""
+    store, parts = _store(w), []
+    for name, (_, dimension, _, _) in facts.FACTS.items():
+        fact, surrogate = w.fact(name), DIMENSIONS[dimension][0].surrogate
+        store.replace(name, fact.where("date_key % 2 = 0"))
+        store.replace(name, fact.where("false"))
+        emptied = store.row_count(name)
+        store.replace(name, fact)
+        rows = _digested({name: (store.read(name), (surrogate, "date_key"))})
+        parts.append(rows.withColumn("rows_after_empty_refresh", F.lit(emptied)))
+    return _union(parts)
 
 
 def _replace_unless_empty(w: Warehouse) -> DataFrame:
-    """An empty refresh after a filled one: the table keeps its rows."""
+    """An empty refresh after a filled one: every Silver table keeps its rows."""
     store = _store(w)
-    store.replace_unless_empty("silver.content", w.silver()["content"])
-    store.replace_unless_empty("silver.content", w.silver()["content"].where("false"))
-    return store.read("silver.content")
+    for t in SOURCE_TABLES:
+        store.replace_unless_empty(f"silver.{t}", w.silver()[t])
+        store.replace_unless_empty(f"silver.{t}", w.silver()[t].where("false"))
+    return _stored(store, "silver", SOURCE_TABLES)
+
+
+def _dimension_loads(w: Warehouse) -> DataFrame:
+    """All dimensions loaded twice through a store: every version with its period."""
+    store = _store(w)
+    for load in LOADS:
+        for p in PROFILES:
+            store.replace(f"silver.{p}", w.profile(p, load))
+        loads.load_dimensions(store)
+    parts = []
+    for name, (spec, _) in DIMENSIONS.items():
+        rows = store.read(f"gold.{name}")
+        key = F.col(spec.key).cast("string").alias("business_key")
+        version = F.col(spec.surrogate).alias("version_key")
+        parts.append(rows.select(F.lit(name).alias("dimension"), version, key, "effective_from", "effective_to", "is_current"))
+    return _union(parts)
 
 
 def _rejects(w: Warehouse) -> DataFrame:
@@ -421,6 +463,7 @@ def builders() -> dict[str, Callable[[Warehouse], DataFrame]]:
         "bronze_append": _append,
         "bronze_append_rerun": _append_rerun,
         "fact_refresh": _fact_refresh,
+        "dim_loads": _dimension_loads,
         "replace_unless_empty": _replace_unless_empty,
         "reject_reasons": _rejects,
         "reject_counts": _reject_counts,

@@ -132,22 +132,32 @@ def close_changed(dimension: DataFrame, profile: DataFrame, spec: ScdSpec) -> Da
 def _with_key_states(profile: DataFrame, versions: DataFrame, spec: ScdSpec) -> DataFrame:
     """Tell each profile row whether its key has versions, a current one, and one that ended when the row changed.
 
-    Of the versions only keys and ends are shuffled, and both collapse before that.
+    One aggregation: a load closes a key's versions at two moments at most, so the ends of a key are few.
     """
-    keyed = versions.where(F.col(spec.key).isNotNull())
-    known = keyed.groupBy(F.col(spec.key).alias("_key")).agg(F.max("is_current").alias("_has_current"))
-    ended = keyed.where(~F.col("is_current")).select(
-        F.col(spec.key).alias("_ended_key"), F.col("effective_to").alias("_ended_at")
+    known = (
+        versions.where(F.col(spec.key).isNotNull())
+        .groupBy(F.col(spec.key).alias("_key"))
+        .agg(
+            F.max("is_current").alias("_has_current"),
+            F.collect_set(F.when(~F.col("is_current"), F.col("effective_to"))).alias("_ends"),
+        )
     )
-    same_key = profile[spec.key] == F.col("_key")
-    ended_then = (profile[spec.key] == F.col("_ended_key")) & (profile["updated_at"] == F.col("_ended_at"))
-    return profile.join(known, same_key, "left").join(ended.distinct(), ended_then, "left")
+    return profile.join(known, profile[spec.key] == F.col("_key"), "left")
 
 
 _IS_NEW_KEY = "_key IS NULL"
-_IS_NEW_VERSION = (
-    "_key IS NOT NULL AND NOT coalesce(_has_current, false) AND _ended_key IS NOT NULL"
-)
+_IS_NEW_VERSION = "_key IS NOT NULL AND NOT coalesce(_has_current, false) AND array_contains(_ends, updated_at)"
+
+
+def unmatched_ends(profile: DataFrame, versions: DataFrame, spec: ScdSpec) -> DataFrame:
+    """One row: the range of ``updated_at`` of profile rows whose key was closed, but not at that moment.
+
+    Only such rows can match a version that ended in an earlier load. There are none unless rows share their key.
+    """
+    left = _with_key_states(profile, versions, spec).where(
+        "_key IS NOT NULL AND NOT coalesce(_has_current, false) AND NOT array_contains(_ends, updated_at)"
+    )
+    return left.agg(F.min("updated_at").alias("first"), F.max("updated_at").alias("last"))
 
 
 def scd2_merge(

@@ -11,10 +11,11 @@ import datetime as dt
 import json
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from siltstone.functions.dates import AsOf, Calendar
+from siltstone.functions.dates import AsOf, Calendar, ntz
 from siltstone.operators.audit import (
     close_runs,
     counts,
@@ -27,10 +28,12 @@ from siltstone.operators.calendar import dim_date, spanning, spine_size
 from siltstone.operators.cleanse import cleanse
 from siltstone.operators.rejects import by_reason, counted, reject_reasons
 from siltstone.operators.scd2 import (
+    ScdSpec,
     close_changed,
     new_versions,
     one_row_per_key,
     split_versions,
+    unmatched_ends,
 )
 from siltstone.plans.dimensions import DIMENSIONS, empty_dimension
 from siltstone.plans.facts import FACTS
@@ -38,11 +41,11 @@ from siltstone.plans.profiles import PROFILES
 from siltstone.plans.silver import SPECS
 from siltstone.sources.extract import EPOCH, delta_extract, full_extract
 from siltstone.session import Stage
-from siltstone.sources.tables import TableStore
+from siltstone.sources.tables import ConcurrentWrite, Snapshot, TableStore
 
 AUDIT_TABLE = "audit.etl_audit"
 # The batches of a dimension's table.
-CURRENT, ENDED = "current", "ended"
+CURRENT, ENDED, DORMANT = "current", "ended", "dormant"
 Results = dict[str, object]
 
 # Tables loaded side by side unless a caller says otherwise.
@@ -207,49 +210,95 @@ def load_rejects(store: TableStore, as_of: AsOf, parallel: int = PARALLEL) -> di
     return _each(SPECS, load, parallel)
 
 
+def _foreign(snapshot: Snapshot, spec: ScdSpec) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+    """Versions in parts that no load has written: current ones, ended ones, and ended ones of keys without a current one."""
+    parts = [p for p in snapshot.parts if p["batch"] not in (CURRENT, ENDED, DORMANT)]
+    if not parts:
+        return None
+    open_, past = split_versions(snapshot.rows(lambda p: p in parts))
+    keys = open_.unionByName(snapshot.batch(CURRENT)).select(F.col(spec.key).alias("_key"))
+    same = past[spec.key] == F.col("_key")
+    return open_, past.join(keys, same, "left_semi"), past.join(keys, same, "left_anti")
+
+
+def merge_profile(store: TableStore, table: str, profile: DataFrame, spec: ScdSpec, shared: int) -> dict[str, int]:
+    """One merge into a stored dimension; ``ConcurrentWrite`` if somebody else has committed to it meanwhile.
+
+    Reads the current versions, and of the ended ones none, in general. A load that closes a key gives it a new version,
+    so an ended version belongs to a key with a current one, whose key is thereby known; what a full refresh may have left
+    beside them (keys with ended versions only) has a batch of its own. Profile rows that share their key (``shared``
+    keys do) can refer to an end of an earlier load; the parts whose ends reach that far are read for them.
+    """
+    base = store.snapshot(table)
+    labels = {"still": CURRENT, "inserted": CURRENT, "closed": ENDED, "moved": ENDED, "dormant": DORMANT}
+    if base.version:
+        current, known = base.batch(CURRENT), base.batch(DORMANT)
+    else:
+        current = known = empty_dimension(profile, spec)
+    moved = _foreign(base, spec) if base.version else None
+    more: list[DataFrame] = []
+    if moved:
+        open_, past, dormant = moved
+        current, known = current.unionByName(open_), known.unionByName(dormant)
+        more = [past.withColumn("_label", F.lit("moved")), dormant.withColumn("_label", F.lit("dormant"))]
+    with Stage(store.spark, f"{store.root}/_stage") as stage:
+        compared = stage.keep(spec.name, close_changed(current, profile, spec))
+        versions = compared.unionByName(known)
+        if shared:
+            first, last = unmatched_ends(profile, versions, spec).first()
+            if first is not None:
+                versions = versions.unionByName(_ended_between(base, first, last))
+                versions = versions.unionByName(moved[1]) if moved else versions
+        label = F.when(F.coalesce(F.col("is_current"), F.lit(False)), F.lit("still")).otherwise(F.lit("closed"))
+        parts = [compared.withColumn("_label", label)]
+        parts.append(new_versions(versions, profile, spec).withColumn("_label", F.lit("inserted")))
+        rows = reduce(DataFrame.unionByName, parts + more)
+        return store.revise(base, lambda p: p["batch"] in (ENDED, DORMANT), rows, labels, spans=("effective_to",))
+
+
+def _ended_between(base: Snapshot, first: dt.datetime, last: dt.datetime) -> DataFrame:
+    """Versions that ended in a range of time; parts that hold no such end are not read."""
+
+    def reaches(part: dict) -> bool:
+        low, high = (part.get("spans") or {}).get("effective_to") or (None, None)
+        unknown = low is None or high is None
+        return part["batch"] == ENDED and (
+            unknown or dt.datetime.fromisoformat(low) <= last and dt.datetime.fromisoformat(high) >= first
+        )
+
+    return base.rows(reaches).where(F.col("effective_to").between(ntz(first), ntz(last)))
+
+
 def load_dimensions(
-    store: TableStore, on_duplicate: str = "keep_all", parallel: int = PARALLEL
+    store: TableStore, on_duplicate: str = "keep_all", parallel: int = PARALLEL, attempts: int = 5
 ) -> Results:
     """Merge each profile into its dimension.
 
     Only current versions are compared with the profile, once; ended ones stay in
-    the files they are in. A table whose parts are not told apart yet (a full refresh wrote
-    them) is split once, with all its history. As in the audit's definition, a merge reports the
+    the files they are in. A merge that another one has overtaken is computed again from what that has left, up to
+    ``attempts`` times. As in the audit's definition, a merge reports the
     profile's rows and no inserts; the real numbers of new and closed versions
     come along under names of their own, as does the number of business keys
     that several profile rows share.
     """
-    silver = silver_layer(store)
 
     def load(name: str) -> dict[str, int]:
         spec, source = DIMENSIONS[name]
-        profile = one_row_per_key(silver[source], spec, on_duplicate)
-        table = f"gold.{name}"
-        moved: list[tuple[str, DataFrame]] = []
-        if store.exists(table):
-            current, ended = store.read(table, CURRENT), store.read(table, ENDED)
-            other = store.read_other(table, (CURRENT, ENDED))
-            if other is not None:
-                open_, past = split_versions(other)
-                current, ended = current.unionByName(open_), ended.unionByName(past)
-                moved.append((ENDED, past))
-        else:
-            current = ended = empty_dimension(profile, spec)
-        shared = profile.where(F.col(spec.key).isNotNull()).groupBy(spec.key).count().where("count > 1")
-        with Stage(store.spark, f"{store.root}/_stage") as stage:
-            compared = stage.keep(name, close_changed(current, profile, spec))
-            still, closing = split_versions(compared)
-            inserts = new_versions(ended.unionByName(compared), profile, spec)
-            closed, _, inserted, *_ = store.revise(
-                table, ENDED, [(ENDED, closing), (CURRENT, still), (CURRENT, inserts), *moved]
-            )
-        rows = store.row_count(f"silver.{source}")
-        extra = {
-            "new_versions": inserted,
-            "closed_versions": closed,
-            "shared_keys": shared.count(),
-        }
-        return counts(source=rows, processed=rows, inserted=0) | extra
+        silver = store.snapshot(f"silver.{source}")
+        profile = one_row_per_key(silver.rows(), spec, on_duplicate)
+        shared = 0
+        if on_duplicate == "keep_all":
+            keyed = profile.where(F.col(spec.key).isNotNull())
+            shared = keyed.groupBy(spec.key).count().where("count > 1").count()
+        for attempt in range(attempts):
+            try:
+                done = merge_profile(store, f"gold.{name}", profile, spec, shared)
+                break
+            except ConcurrentWrite:
+                if attempt + 1 == attempts:
+                    raise
+        extra = {"new_versions": done["inserted"], "closed_versions": done["closed"], "shared_keys": shared}
+        return counts(source=silver.row_count, processed=silver.row_count, inserted=0) | extra
 
     return _each(DIMENSIONS, load, parallel)
 

@@ -6,9 +6,10 @@ lost executor or a failed job therefore leaves the old content in place, a
 plan may read the table it is about to replace, and a reader that has started
 keeps its files until ``vacuum``.
 
-A commit holds for the version its writer has read: of two writers, the one that
-comes second appends to what the first has committed, or fails if it was to
-replace the table. A manifest is written under another name and renamed. On HDFS the
+Who computes new content from a table takes a ``Snapshot`` first, reads from it
+and commits on its version; if somebody else has committed since, the commit
+raises ``ConcurrentWrite`` and what was written for it is deleted. Appends need no
+snapshot: the second writer adds to what the first has committed. A manifest is written under another name and renamed. On HDFS the
 rename fails if the version exists; on a local file system this is made sure
 of within one process only; an object store would need a conditional put.
 """
@@ -21,7 +22,8 @@ import re
 import threading
 import time
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -37,6 +39,31 @@ class ConcurrentWrite(RuntimeError):
     """Somebody else has committed to the table since it was read."""
 
 
+@dataclass(frozen=True)
+class Snapshot:
+    """One version of a table: all reads of a computation see the same parts. Version 0 is no table yet."""
+
+    store: TableStore
+    table: str
+    version: int
+    manifest: dict
+
+    @property
+    def parts(self) -> list[dict]:
+        return self.manifest["parts"]
+
+    def rows(self, wanted: Callable[[dict], bool] = lambda part: True) -> DataFrame:
+        """The rows of the parts that ``wanted`` chooses."""
+        return self.store._rows(self.table, self.manifest, [p for p in self.parts if wanted(p)])
+
+    def batch(self, *names: str) -> DataFrame:
+        return self.rows(lambda part: part["batch"] in names)
+
+    @property
+    def row_count(self) -> int:
+        return sum(p["rows"] for p in self.parts)
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -96,18 +123,17 @@ class TableStore:
     def exists(self, table: str) -> bool:
         return bool(self._versions(table))
 
+    def snapshot(self, table: str) -> Snapshot:
+        """The newest version, to be read and committed on."""
+        version = self._newest(table)
+        return Snapshot(self, table, version, self._manifest(table, version) if version else {"parts": []})
+
     def read(self, table: str, batch: str | None = None) -> DataFrame:
         """The table, or the rows of one batch."""
         manifest = self._manifest(table)
         parts = [p for p in manifest["parts"] if batch is None or p["batch"] == batch]
         return self._rows(table, manifest, parts)
 
-    def read_other(self, table: str, batches: Sequence[str]) -> DataFrame | None:
-        """The rows of all parts that are of none of these batches; None if there are no such parts."""
-        manifest = self._manifest(table)
-        parts = [p for p in manifest["parts"] if p["batch"] not in batches]
-        return self._rows(table, manifest, parts) if parts else None
-
     def _rows(self, table: str, manifest: dict, parts: Sequence[dict]) -> DataFrame:
         schema = StructType.fromJson(manifest["schema"])
         paths = [f"{self.root}/{table}/{p['dir']}" for p in parts]
@@ -184,58 +210,72 @@ class TableStore:
             except ConcurrentWrite:
                 base = self._newest(table)
 
-    def replace(self, table: str, rows: DataFrame, partition_by: Sequence[str] = ()) -> int:
-        """Full refresh; an empty result does empty the table."""
-        base = self._newest(table)
-        part = self._write_part(table, rows, partition_by)
-        self._commit(table, base, rows.schema, [part] if part["rows"] else [])
-        return part["rows"]
+    def _commit_new(self, table: str, base: int, schema: StructType, kept: list[dict], new: list[dict]) -> None:
+        try:
+            self._commit(table, base, schema, [*kept, *[p for p in new if p["rows"]]])
+        except ConcurrentWrite:
+            for folder in {p["dir"].split("/")[0] for p in new}:
+                self._fs.delete(self._path(table, folder), True)
+            raise
 
-    def replace_in_two(
-        self, table: str, first: DataFrame, then: Callable[[DataFrame], DataFrame]
-    ) -> tuple[int, int]:
-        """Full refresh in two writes and one commit.
+    def replace(
+        self,
+        table: str,
+        rows: DataFrame,
+        partition_by: Sequence[str] = (),
+        base: Snapshot | None = None,
+        unless_empty: bool = False,
+    ) -> int:
+        """Full refresh. An empty result empties the table or, with ``unless_empty``, leaves it untouched.
 
-        ``then`` gets the rows of the first write, read back, and gives the
-        rest of the table. What the second half needs of the first is thereby
-        computed once.
+        With ``base``, only if the table is still as in that snapshot. The row count comes
+        from the write itself, so no extra pass finds out whether there is anything to write.
         """
-        base = self._newest(table)
-        part = self._write_part(table, first, ())
-        written = self.spark.read.schema(first.schema).parquet(f"{self.root}/{table}/{part['dir']}")
-        rest = self._write_part(table, align(then(written), first.schema), ())
-        self._commit(table, base, first.schema, [p for p in (part, rest) if p["rows"]])
-        return part["rows"], rest["rows"]
+        version = base.version if base else self._newest(table)
+        part = self._write_part(table, rows, partition_by)
+        if part["rows"] or not (unless_empty and version):
+            self._commit_new(table, version, rows.schema, [], [part])
+        return part["rows"]
 
-    def revise(
-        self, table: str, keep: str, parts: Sequence[tuple[str, DataFrame]]
-    ) -> list[int]:
-        """Replace all batches but ``keep`` by ``parts`` (batch, rows), in one commit.
+    def replace_unless_empty(self, table: str, rows: DataFrame, partition_by: Sequence[str] = ()) -> int:
+        return self.replace(table, rows, partition_by, unless_empty=True)
 
-        Rows of the kept batch are neither read nor written again; parts of that
-        name add to it. Gives the number of rows of each part.
-        """
-        base, schema = self._newest(table), parts[0][1].schema
-        kept = [p for p in self._manifest(table, base)["parts"] if p["batch"] == keep] if base else []
-        new = [self._write_part(table, align(rows, schema), (), batch) for batch, rows in parts]
-        self._commit(table, base, schema, [*kept, *[p for p in new if p["rows"]]])
-        return [p["rows"] for p in new]
-
-    def replace_unless_empty(
-        self, table: str, rows: DataFrame, partition_by: Sequence[str] = ()
-    ) -> int:
-        """Replace the content; an empty result leaves the table untouched.
+    def revise(
+        self,
+        base: Snapshot,
+        keep: Callable[[dict], bool],
+        rows: DataFrame,
+        labels: Mapping[str, str],
+        spans: Sequence[str] = (),
+    ) -> dict[str, int]:
+        """Replace all parts but those that ``keep`` chooses by ``rows``, in one job and one commit.
 
-        The row count comes from the write itself, so no extra pass is needed
-        to find out whether there is anything to write.
+        The column ``_label`` of ``rows`` tells the new parts apart; ``labels`` gives the batch of each. A part notes
+        its least and greatest value of the columns ``spans``. Gives the number of rows by label.
         """
-        base = self._newest(table)
-        part = self._write_part(table, rows, partition_by)
-        if part["rows"]:
-            self._commit(table, base, rows.schema, [part])
-        elif not base:
-            self._commit(table, base, rows.schema, [])
-        return part["rows"]
+        table, folder = base.table, f"part-{uuid.uuid4().hex}"
+        schema = StructType([f for f in rows.schema if f.name != "_label"])
+        seen, metrics = Observation(folder), []
+        for i, label in enumerate(labels):
+            here = F.col("_label") == label
+            metrics.append(F.count_if(here).alias(f"rows{i}"))
+            for c in spans:
+                values = F.when(here, F.col(c))
+                metrics += [F.min(values).cast("string").alias(f"min{i}_{c}"), F.max(values).cast("string").alias(f"max{i}_{c}")]
+        rows.observe(seen, *metrics).write.partitionBy("_label").parquet(f"{self.root}/{table}/{folder}")
+        found = seen.get
+        new = [
+            {
+                "dir": f"{folder}/_label={label}",
+                "batch": batch,
+                "after": None,
+                "rows": found[f"rows{i}"],
+                "spans": {c: [found[f"min{i}_{c}"], found[f"max{i}_{c}"]] for c in spans},
+            }
+            for i, (label, batch) in enumerate(labels.items())
+        ]
+        self._commit_new(table, base.version, schema, [p for p in base.parts if keep(p)], new)
+        return {label: found[f"rows{i}"] for i, label in enumerate(labels)}
 
     def vacuum(self, table: str, keep: int = 2, min_age_hours: float = 168) -> int:
         """Delete directories that none of the ``keep`` newest manifests lists.
@@ -244,7 +284,7 @@ class TableStore:
         age must exceed the longest load by far.
         """
         newest = self._versions(table)[-keep:]
-        live = {p["dir"] for v in newest for p in self._manifest(table, v)["parts"]}
+        live = {p["dir"].split("/")[0] for v in newest for p in self._manifest(table, v)["parts"]}
         oldest_kept = (time.time() - min_age_hours * 3600) * 1000
         removed = 0
         for status in self._fs.listStatus(self._path(table)):

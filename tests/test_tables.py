@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -108,12 +109,33 @@ def test_a_failed_write_leaves_the_old_content(store, rows_of):
     assert content(store) == [(1,)]
 
 
-def test_two_writes_one_commit(store, rows_of):
-    counts = store.replace_in_two(
-        "t", rows_of("a bigint", (1,), (2,)), lambda first: first.select((F.col("a") * 10).alias("a"))
-    )
-    assert counts == (2, 2)
-    assert content(store) == [(1,), (2,), (10,), (20,)]
+def test_a_commit_on_an_old_snapshot_fails_and_leaves_nothing(store, rows_of):
+    store.replace("t", rows_of("a bigint", (1,)))
+    seen = store.snapshot("t")
+    store.append("t", rows_of("a bigint", (2,)))
+    folders = set(os.listdir(f"{store.root}/t"))
+    labelled = rows_of("a bigint, _label string", (3, "x"))
+    with pytest.raises(ConcurrentWrite):
+        store.replace("t", rows_of("a bigint", (3,)), base=seen)
+    with pytest.raises(ConcurrentWrite):
+        store.revise(seen, lambda part: True, labelled, {"x": "x"})
+    assert set(os.listdir(f"{store.root}/t")) == folders
+    assert sorted(tuple(r) for r in seen.rows().collect()) == [(1,)] and content(store) == [(1,), (2,)]
+
+
+def test_revise_writes_several_parts_in_one_commit(store, rows_of):
+    store.append("t", rows_of("a bigint", (1,)), batch="old")
+    store.append("t", rows_of("a bigint", (2,)), batch="kept")
+    rows = rows_of("a bigint, _label string", (3, "x"), (5, "x"), (4, "y"))
+    base = store.snapshot("t")
+    found = store.revise(base, lambda p: p["batch"] == "kept", rows, {"x": "a", "y": "b", "z": "b"}, spans=["a"])
+    assert found == {"x": 2, "y": 1, "z": 0} and content(store) == [(2,), (3,), (4,), (5,)]
+    after = store.snapshot("t")
+    assert after.version == base.version + 1 and after.row_count == 4
+    assert [p["spans"]["a"] for p in after.parts if p["batch"] == "a"] == [["3", "5"]]
+    assert [r.a for r in after.batch("b").collect()] == [4]
+    store.replace("t", rows_of("a bigint", (9,)))
+    assert store.vacuum("t", keep=1, min_age_hours=-1) == 3
 
 
 def test_partitioned_table(store, rows_of):
