@@ -972,6 +972,7 @@ def oracle_queries() -> dict[str, str]:
     queries["bronze_append_rerun"] = queries["bronze_append"]
     stored = {t: (f"silver2_{t}", columns, key) for t, (_, columns, key) in stored.items()}
     queries["replace_unless_empty"] = with_relations(_digest_sql(stored))
+    queries["silver_changes"] = queries["replace_unless_empty"]
     queries["dim_loads"] = with_relations(
         " UNION ALL ".join(
             f"SELECT 'dim_{d}' AS dimension, {surrogate} AS version_key, CAST({key} AS VARCHAR) AS business_key,"

@@ -248,6 +248,16 @@ def _replace_unless_empty(w: Warehouse) -> DataFrame:
     return _stored(store, "silver", SOURCE_TABLES)
 
 
+def _silver_changes(w: Warehouse) -> DataFrame:
+    """Silver after a full load and a delta, the second time from the delta and the winners of the first."""
+    store = _store(w)
+    loads.load_bronze_full(store, {t: w.source(t, 1) for t in SOURCE_TABLES}, LOADS[1], SOURCE_SYSTEM)
+    loads.load_silver_changes(store, LOADS[1])
+    loads.load_bronze_delta(store, {t: w.source(t, 2) for t in SOURCE_TABLES}, NOW.ts, NOW, SOURCE_SYSTEM)
+    loads.load_silver_changes(store, NOW)
+    return _stored(store, "silver", SOURCE_TABLES)
+
+
 def _dimension_loads(w: Warehouse) -> DataFrame:
     """All dimensions loaded twice through a store: every version with its period."""
     store = _store(w)
@@ -463,6 +473,7 @@ def builders() -> dict[str, Callable[[Warehouse], DataFrame]]:
         "bronze_append": _append,
         "bronze_append_rerun": _append_rerun,
         "fact_refresh": _fact_refresh,
+        "silver_changes": _silver_changes,
         "dim_loads": _dimension_loads,
         "replace_unless_empty": _replace_unless_empty,
         "reject_reasons": _rejects,

@@ -41,7 +41,9 @@ class TableSpec:
 
     @property
     def row_rules(self) -> tuple[Rule, ...]:
-        return (*map(present, self.required), *self.rules)
+        # A value that must be unique must be there.
+        unique = (self.unique,) if self.unique and self.unique not in self.required else ()
+        return (*map(present, (*self.required, *unique)), *self.rules)
 
     @property
     def parents(self) -> tuple[str, ...]:

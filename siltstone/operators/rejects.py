@@ -14,7 +14,7 @@ from siltstone.operators.dedupe import latest_version
 # Reasons that do not come from a rule.
 NO_KEY, SUPERSEDED = "key missing", "superseded"
 # Names a row of the stored table by its place.
-_PLACE = "_place"
+PLACE = "_place"
 
 
 def _shared(spec: TableSpec) -> str:
@@ -34,7 +34,7 @@ def reasons(spec: TableSpec) -> tuple[str, ...]:
 
 def _spread(rows: DataFrame, column: str) -> Column:
     # NULLs have no partner; a text that no value has serves as well and keeps them apart.
-    return F.coalesce(rows[column].cast("string"), F.concat(F.lit("\0"), rows[_PLACE].cast("string")))
+    return F.coalesce(rows[column].cast("string"), F.concat(F.lit("\0"), rows[PLACE].cast("string")))
 
 
 def judged(
@@ -72,10 +72,10 @@ def reject_reasons(
     branches read. The newest version of each key is judged by itself; then every row asks
     whether it is one of these, in a join on the place, which no hot key can skew.
     """
-    placed = bronze.withColumn(_PLACE, F.monotonically_increasing_id())
-    newest = cleaned(latest_version(placed, spec.key), spec, _PLACE)
+    placed = bronze.withColumn(PLACE, F.monotonically_increasing_id())
+    newest = cleaned(latest_version(placed, spec.key), spec, PLACE)
     verdicts = judged(newest, spec, parents, as_of).select(
-        F.col(_PLACE).alias("_judged"), F.coalesce("reason", F.lit("")).alias("_verdict")
+        F.col(PLACE).alias("_judged"), F.coalesce("reason", F.lit("")).alias("_verdict")
     )
     has_key = reduce(Column.__and__, [F.col(k).isNotNull() for k in spec.key])
     reason = (
@@ -86,8 +86,8 @@ def reject_reasons(
     times = ("created_at", "updated_at", "load_timestamp")
     key_text = F.concat_ws(",", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in spec.key])
     return (
-        placed.select(*spec.key, *times, _PLACE)
-        .join(verdicts, F.col(_PLACE) == F.col("_judged"), "left")
+        placed.select(*spec.key, *times, PLACE)
+        .join(verdicts, F.col(PLACE) == F.col("_judged"), "left")
         .withColumn("reason", reason)
         .where("reason <> ''")
         .select(F.lit(spec.name).alias("table_name"), key_text.alias("row_key"), "reason", *times)

@@ -35,6 +35,7 @@ from siltstone.operators.scd2 import (
     split_versions,
     unmatched_ends,
 )
+from siltstone.plans.changes import TableChange
 from siltstone.plans.dimensions import DIMENSIONS, empty_dimension
 from siltstone.plans.facts import FACTS
 from siltstone.plans.profiles import PROFILES
@@ -160,19 +161,12 @@ def load_bronze_delta(
     return _each(sources, load, parallel)
 
 
-def load_silver(store: TableStore, as_of: AsOf, parallel: int = PARALLEL) -> Results:
-    """Rebuild Silver parents first, then the profiles.
-
-    What refers to a table that failed is not built on its old content but skipped.
-    """
+def _load_silver(
+    store: TableStore, as_of: AsOf, load: Callable[[str, Layer], dict[str, int]], parallel: int
+) -> Results:
+    """Parents first, then the profiles. What refers to a table that failed is not built on its old content but skipped."""
     silver = silver_layer(store)
 
-    def load(name: str) -> dict[str, int]:
-        bronze = f"bronze.{name}"
-        rows = cleanse(store.read(bronze), SPECS[name], silver, as_of)
-        loaded = store.replace_unless_empty(f"silver.{name}", rows)
-        return counts(source=store.row_count(bronze), processed=loaded)
-
     def load_profile(name: str) -> dict[str, int]:
         rows = PROFILES[name](silver, as_of)
         return counts(source=0, processed=store.replace_unless_empty(f"silver.{name}", rows))
@@ -183,7 +177,7 @@ def load_silver(store: TableStore, as_of: AsOf, parallel: int = PARALLEL) -> Res
         ready = [n for n in wave if not errors.keys() & set(SPECS[n].parents)]
         for name in set(wave) - set(ready):
             errors[name] = RuntimeError("skipped: a table it refers to has failed")
-        done, failed = _try_each(ready, load, parallel)
+        done, failed = _try_each(ready, lambda name: load(name, silver), parallel)
         results, errors = results | done, errors | failed
     if errors:
         raise PartlyFailed(results, errors)
@@ -193,6 +187,31 @@ def load_silver(store: TableStore, as_of: AsOf, parallel: int = PARALLEL) -> Res
     return results | done
 
 
+def load_silver(store: TableStore, as_of: AsOf, parallel: int = PARALLEL) -> Results:
+    """Rebuild Silver from all of Bronze."""
+
+    def load(name: str, silver: Layer) -> dict[str, int]:
+        bronze = store.snapshot(f"bronze.{name}")
+        rows = cleanse(bronze.rows(), SPECS[name], silver, as_of)
+        return counts(source=bronze.row_count, processed=store.replace_unless_empty(f"silver.{name}", rows))
+
+    return _load_silver(store, as_of, load, parallel)
+
+
+def load_silver_changes(store: TableStore, as_of: AsOf, parallel: int = PARALLEL) -> Results:
+    """The same Silver, from the Bronze parts that no earlier call has seen; the first call sees all."""
+    changes: dict[str, TableChange] = {}
+    with Stage(store.spark, f"{store.root}/_stage") as stage:
+
+        def load(name: str, silver: Layer) -> dict[str, int]:
+            change = TableChange(store, SPECS[name], as_of, stage)
+            done = change.run(silver, changes)
+            changes[name] = change
+            return done
+
+        return _load_silver(store, as_of, load, parallel)
+
+
 def load_rejects(store: TableStore, as_of: AsOf, parallel: int = PARALLEL) -> dict[str, dict[str, int]]:
     """Write the rows that Silver has dropped, with their reasons; gives the number of each reason per table.
 

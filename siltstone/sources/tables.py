@@ -52,8 +52,14 @@ class Snapshot:
     def parts(self) -> list[dict]:
         return self.manifest["parts"]
 
+    @property
+    def columns(self) -> list[str]:
+        return [f["name"] for f in self.manifest["schema"]["fields"]] if self.version else []
+
     def rows(self, wanted: Callable[[dict], bool] = lambda part: True) -> DataFrame:
         """The rows of the parts that ``wanted`` chooses."""
+        if not self.version:
+            raise ValueError(f"no such table: {self.table}")
         return self.store._rows(self.table, self.manifest, [p for p in self.parts if wanted(p)])
 
     def batch(self, *names: str) -> DataFrame:
@@ -225,14 +231,16 @@ class TableStore:
         partition_by: Sequence[str] = (),
         base: Snapshot | None = None,
         unless_empty: bool = False,
+        note: Mapping | None = None,
     ) -> int:
         """Full refresh. An empty result empties the table or, with ``unless_empty``, leaves it untouched.
 
         With ``base``, only if the table is still as in that snapshot. The row count comes
-        from the write itself, so no extra pass finds out whether there is anything to write.
+        from the write itself, so no extra pass finds out whether there is anything to write. ``note`` is kept
+        with the part, for who reads the table's manifest.
         """
         version = base.version if base else self._newest(table)
-        part = self._write_part(table, rows, partition_by)
+        part = {**self._write_part(table, rows, partition_by), **({"note": note} if note else {})}
         if part["rows"] or not (unless_empty and version):
             self._commit_new(table, version, rows.schema, [], [part])
         return part["rows"]
