@@ -53,7 +53,8 @@ def _matches(rows: DataFrame, column: str, values: DataFrame, flag: str) -> Data
 class TableChange:
     """One table's part of a load."""
 
-    def __init__(self, store: TableStore, spec: TableSpec, as_of: AsOf, stage: Stage):
+    def __init__(self, store: TableStore, spec: TableSpec, as_of: AsOf, stage: Stage, is_parent: bool):
+        self.is_parent = is_parent
         self.store, self.spec, self.as_of, self.stage = store, spec, as_of, stage
         self.bronze = store.snapshot(f"bronze.{spec.name}")
         self.before = store.snapshot(f"winners.{spec.name}")
@@ -84,7 +85,7 @@ class TableChange:
         columns = (*spec.columns, *LINEAGE)
         rows = cleaned(stay, spec).select(*columns).unionByName(passed.select(*columns))
         loaded = self.store.replace_unless_empty(f"silver.{spec.name}", rows)
-        if self.note is not None and self.note["loaded"]:
+        if self.is_parent and self.note is not None and self.note["loaded"]:
             left = touched.where(ACCEPTED).unionByName(again.where(f"_again AND {ACCEPTED}").drop("_again"))
             gone = _keys(left, spec).join(passed, _same_key(passed, spec), "left_anti").distinct()
             self.removed = self.stage.keep(f"removed_{spec.name}", gone)
