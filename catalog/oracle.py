@@ -992,6 +992,13 @@ def oracle_queries() -> dict[str, str]:
         "SELECT table_name, reason, CAST(count(*) AS BIGINT) AS counted, CAST(count(*) AS BIGINT) AS stored"
         f" FROM ({_reject_sql()}) AS r GROUP BY table_name, reason"
     )
+    queries["as_of_payment_version"] = with_relations("""
+        SELECT payment_id, customer_no, CAST(payment_date AS VARCHAR) AS payment_date, customer_sk FROM (
+            SELECT payment_id, c.customer_no, payment_date, d.customer_sk, d.effective_to
+            FROM silver2_payment AS p JOIN silver2_customer AS c USING (customer_id)
+                JOIN dim2_customer AS d ON d.customer_no = c.customer_no AND d.effective_from <= p.payment_date
+            QUALIFY row_number() OVER (PARTITION BY payment_id ORDER BY d.effective_from DESC, d.customer_sk DESC) = 1
+        ) AS newest WHERE effective_to IS NULL OR payment_date < effective_to""")
     queries["scd2_changes"] = with_relations(_change_sql())
     queries["dim_date"] = with_relations(
         "SELECT date_key, CAST(full_date AS VARCHAR) AS full_date, day FROM calendar"
@@ -1044,6 +1051,18 @@ def oracle_queries() -> dict[str, str]:
     queries["fact_refresh"] = with_relations(
         f"SELECT *, CAST(0 AS INT) AS rows_after_empty_refresh FROM ({_digest_sql(refreshed)}) AS d"
     )
+    same = {t: (f"silver2_{t}", "TRUE") for t in SOURCE_TABLES} | {f: (plain[f][0], "TRUE") for f in plain if f.startswith("fact_")}
+    for d in _DIMENSIONS:
+        columns = ", ".join(dimension_columns(d))
+        less = "SELECT {0} FROM dim{1}_{2} EXCEPT ALL SELECT {0} FROM dim{3}_{2}"
+        differ = f"({less.format(columns, 2, d, 3)}) UNION ALL ({less.format(columns, 3, d, 2)})"
+        same[f"dim_{d}"] = (f"dim2_{d}", f"NOT EXISTS ({differ})")
+    queries["check_rerun_digests"] = with_relations(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, (SELECT count(*) FROM {relation}) AS row_count, {equal} AS is_equal"
+            for name, (relation, equal) in same.items()
+        )
+    )
     for name, sql in {**_audit_sql(), **_check_sql()}.items():
         queries[name] = with_relations(sql)
     return queries

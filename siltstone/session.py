@@ -29,10 +29,18 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 def shared_folder(spark: SparkSession) -> str:
     """The folder the session names in ``spark.checkpoint.dir``, which all executors must reach.
 
-    A session that names none gets one beside its tables: the warehouse is shared too.
+    A session that names none gets one beside its tables, if the warehouse is shared as well: on a cluster, the
+    default warehouse is a folder of one machine, which is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stage"
+    if folder:
+        return folder
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    path = spark._jvm.org.apache.hadoop.fs.Path(warehouse)
+    scheme = path.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme()
+    if scheme == "file" and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors reach")
+    return f"{warehouse}/_stage"
 
 
 class Stage:

@@ -25,12 +25,14 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
 # The change times whose newest values a part keeps, for the watermark.
 CHANGE_TIMES = ("created_at", "updated_at")
+# Differs between equal states by design, so a digest leaves it out.
+UNDIGESTED = "load_timestamp"
 _MANIFEST = re.compile(r"[0-9]{12}\.json")
 _renaming = threading.Lock()
 
@@ -70,6 +72,29 @@ class Snapshot:
         return sum(p["rows"] for p in self.parts)
 
 
+@dataclass(frozen=True)
+class Digest:
+    """The rows of a table as a multiset, whatever their order and files: number, sum and exclusive or of row hashes."""
+
+    rows: int
+    total: int
+    mixed: int
+
+    def __add__(self, other: Digest) -> Digest:
+        return Digest(self.rows + other.rows, self.total + other.total, self.mixed ^ other.mixed)
+
+
+def _row_hash(schema: StructType) -> Column:
+    """NULL is told from other values, and a value from the same one in another column; columns go by name."""
+    names = sorted(f.name for f in schema if f.name not in (UNDIGESTED, "_label"))
+    return F.xxhash64(*[x for n in names for x in (F.col(n).isNull(), F.col(n))])
+
+
+def _digest_metrics(schema: StructType, where: Column | None = None, tag: str = "") -> list[Column]:
+    value = _row_hash(schema) if where is None else F.when(where, _row_hash(schema))
+    return [F.sum(value.cast("decimal(38,0)")).cast("string").alias(f"total{tag}"), F.bit_xor(value).alias(f"mixed{tag}")]
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -151,6 +176,15 @@ class TableStore:
         """Rows of the table, as counted while they were written; reads no data."""
         return sum(p["rows"] for p in self._manifest(table)["parts"])
 
+    def digest(self, table: str) -> Digest | None:
+        """What the table holds, as noted while it was written; reads no data. None if a part has no note of it."""
+        found = Digest(0, 0, 0)
+        for part in self._manifest(table)["parts"]:
+            if part.get("total") is None:
+                return None
+            found += Digest(part["rows"], int(part["total"]), part["mixed"])
+        return found
+
     def watermark(self, table: str) -> dt.datetime | None:
         """The newest change time in the table, as seen while it was written; reads no data."""
         found = [p[c] for p in self._manifest(table)["parts"] for c in CHANGE_TIMES if p.get(c)]
@@ -177,7 +211,7 @@ class TableStore:
         folder = f"part-{uuid.uuid4().hex}"
         seen = Observation(folder)
         times = [F.max(c).cast("string").alias(c) for c in CHANGE_TIMES if c in rows.columns]
-        counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *times)
+        counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *times, *_digest_metrics(rows.schema))
         counted.write.partitionBy(*partition_by).parquet(f"{self.root}/{table}/{folder}")
         start = after.isoformat(sep=" ") if after else None
         return {"dir": folder, "batch": batch, "after": start, **seen.get}
@@ -266,7 +300,7 @@ class TableStore:
         seen, metrics = Observation(folder), []
         for i, label in enumerate(labels):
             here = F.col("_label") == label
-            metrics.append(F.count_if(here).alias(f"rows{i}"))
+            metrics += [F.count_if(here).alias(f"rows{i}"), *_digest_metrics(schema, here, str(i))]
             for c in spans:
                 values = F.when(here, F.col(c))
                 metrics += [F.min(values).cast("string").alias(f"min{i}_{c}"), F.max(values).cast("string").alias(f"max{i}_{c}")]
@@ -278,6 +312,8 @@ class TableStore:
                 "batch": batch,
                 "after": None,
                 "rows": found[f"rows{i}"],
+                "total": found[f"total{i}"],
+                "mixed": found[f"mixed{i}"],
                 "spans": {c: [found[f"min{i}_{c}"], found[f"max{i}_{c}"]] for c in spans},
             }
             for i, (label, batch) in enumerate(labels.items())

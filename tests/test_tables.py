@@ -151,3 +151,31 @@ def test_vacuum_spares_live_and_young_parts(store, rows_of):
     assert store.vacuum("t", keep=2) == 0
     assert store.vacuum("t", keep=2, min_age_hours=-1) == 2
     assert content(store) == [(3,)]
+
+
+def test_digests_tell_states_apart(store, rows_of):
+    """Order, files and load times don't matter; a changed, doubled, swapped or missing row does."""
+    schema = "a bigint, b bigint, s string, load_timestamp timestamp_ntz"
+    early, late = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    rows = [(1, 2, "x", early), (3, None, "", early), (None, 3, None, early)]
+
+    def digest(*given):
+        store.replace("t", rows_of(schema, *given))
+        return store.digest("t")
+
+    first = digest(*rows)
+    assert first.rows == 3 and digest(*[(*r[:3], late) for r in reversed(rows)]) == first
+    store.replace("t", rows_of(schema, rows[0]))
+    store.append("t", rows_of(schema, *rows[1:]))
+    assert store.digest("t") == first
+    others = [
+        rows[:2],
+        [*rows, rows[0]],
+        [*rows, rows[0], rows[0]],
+        [(2, 1, "x", early), *rows[1:]],
+        [rows[0], (None, 3, "", early), rows[2]],
+        [(1, None, "x", early), (3, 2, "", early), rows[2]],
+        [],
+    ]
+    found = [digest(*other) for other in others]
+    assert first not in found and len(set(found)) == len(found)
