@@ -177,7 +177,7 @@ def good(text: str) -> bool:
     m = repeats(text)
     if m["n_words"] < 50 or 100 * m["n_repeat_words"] > 50 * m["n_words"]:
         return False
-    limits = {"dup_line_chars": 30, "rep5_chars": 40, "rep7_chars": 35, "rep10_chars": 30}
+    limits = {"dup_line_chars": 20, "rep5_chars": 15, "rep7_chars": 14, "rep10_chars": 10}
     return all(100 * m[k] <= v * m["word_chars"] for k, v in limits.items())
 
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import struct
 import zlib
 
 import plain
 import pytest
+import xxhash
 from cases import EDGE, SENTENCE
 from pyspark.sql import functions as F
 
@@ -196,6 +198,19 @@ def test_rendezvous_keeps_its_law(query, given):
     assert any(r.grown_shard == 24 for r in rows)
 
 
+def test_winning_shards_by_every_score(query):
+    """The score of each shard from the published hash, in plain Python; the greatest wins, ties go to the higher number."""
+
+    def draws(key):
+        first = xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+        return [xxhash.xxh64_intdigest(struct.pack("<q", s), first) >> 11 for s in range(25)]
+
+    for r in query("op9_rendezvous"):
+        scores = draws(r.doc_id)
+        assert r.shard == max(range(24), key=lambda s: (scores[s], s))
+        assert r.grown_shard == max(range(25), key=lambda s: (scores[s], s))
+
+
 def test_weights_and_moves(spark):
     keys = spark.range(40_000).withColumn("key", F.col("id"))
     shares = [1.0, 2.0, 0.0, 5.0]

@@ -11,7 +11,7 @@ import pytest
 from cases import EDGE
 
 from siltstone.llm.bpe import Encoder, PairTable, Tokenizer
-from siltstone.llm.token_counts import Lengths, PieceModel, count_tokens
+from siltstone.llm.token_counts import ENTRIES, Counter, LengthTable, PieceModel, count_tokens, frequent_tokens
 
 RANKS, PIECES = (public_tokenizers.path(n) for n in ("byte_bpe_50k.tiktoken", "piece_bpe_32k.model"))
 
@@ -86,21 +86,52 @@ def test_edge_texts(spark, edge, nothing):
     assert tokenizer.decode(tokenizer.encode(nothing)).collect() == []
 
 
-def test_counts_are_those_of_the_model():
+def counter_of(words):
     model = PieceModel(read(PIECES))
-    lengths, library = Lengths(model, *model.frequent()), plain.piece_bpe()
-    texts = odd_texts()
-    assert lengths.totals(texts) == [len(library.encode(t)) for t in texts]
+    return Counter(model, LengthTable.from_parts(*LengthTable.of(words, model.counts(words)).parts()))
+
+
+def test_counts_are_those_of_the_model():
+    library, texts = plain.piece_bpe(), odd_texts()
+    words = sorted({w for t in texts for w in PieceModel(read(PIECES)).words(t)})
+    counter = counter_of(words[::2])
+    assert counter.totals(texts) == [len(library.encode(t)) for t in texts]
+    assert (counter.asked, counter.answered) == (len(words), len(words[::2]))
 
 
 def test_a_full_cache_changes_nothing(monkeypatch):
     monkeypatch.setattr("siltstone.llm.token_counts.CACHED", 3)
-    model = PieceModel(read(PIECES))
-    lengths, library = Lengths(model, *model.frequent()), plain.piece_bpe()
+    counter, library = counter_of(["▁a"]), plain.piece_bpe()
     for text in odd_texts()[:200]:
-        assert lengths.totals([text]) == [len(library.encode(text))]
-    assert lengths.totals([]) == [] and lengths.totals([""]) == [0]
-    assert len(lengths) <= len(lengths.base) + 3
+        before = len(counter.cache)
+        assert counter.totals([text]) == [len(library.encode(text))]
+        assert before <= 3 or len(counter.cache) < before + 30
+    assert counter.totals([]) == [] and counter.totals([""]) == [0]
+
+
+def test_a_table_with_equal_hashes(monkeypatch):
+    """Hits are verified by the text: with few hashes for many pre-tokens none is mistaken for another."""
+    monkeypatch.setattr("siltstone.llm.token_counts.xxh3_64_intdigest", lambda text: len(text) % 3)
+    words = [f"w{i}" for i in range(120)]
+    table = LengthTable.of(words, list(range(1, 121)))
+    assert table.get([*words, "w120", "", "x"]) == [*range(1, 121), 0, 0, 0]
+
+
+def test_frequent_tokens_answer_most(spark):
+    """Of all pre-tokens of the largest given table, the table answers over nine in ten; their lengths are not all one."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    file = read(PIECES)
+    words = frequent_tokens(docs, spark.sparkContext.broadcast(file), "text", ENTRIES)
+    model = PieceModel(file)
+    sizes = dict(zip(words, model.counts(words), strict=True))
+    assert len(words) == len(sizes) <= ENTRIES and sum(n > 1 for n in sizes.values()) > 1000
+    occurrences = [w for r in docs.where("doc_id % 7 = 0").select("text").collect() for w in model.words(r.text or "")]
+    assert sum(w in sizes for w in occurrences) > 0.9 * len(occurrences)
+
+
+def test_counts_do_not_depend_on_the_table(edge):
+    few, many = (sorted(map(tuple, count_tokens(edge, PIECES, entries=n).collect())) for n in (1, 1000))
+    assert few == many
 
 
 def test_count_query(query, given):
