@@ -92,8 +92,8 @@ def counter_of(words):
 
 
 def test_counts_are_those_of_the_model():
-    library, texts = plain.piece_bpe(), odd_texts()
-    words = sorted({w for t in texts for w in PieceModel(read(PIECES)).words(t)})
+    library, texts, model = plain.piece_bpe(), odd_texts(), PieceModel(read(PIECES))
+    words = sorted({w for t in texts for w in model.words(t)})
     counter = counter_of(words[::2])
     assert counter.totals(texts) == [len(library.encode(t)) for t in texts]
     assert (counter.asked, counter.answered) == (len(words), len(words[::2]))
