@@ -938,6 +938,27 @@ def _key(table: str) -> tuple[str, ...]:
     return ("content_id", "genre_id") if table == "content_genre" else COLUMNS[table][:1]
 
 
+def _missed_sql() -> str:
+    """Rows with remainder 3 are missing from the full load; the delta begins after the newest change of the others."""
+    changed, parts = "greatest(created_at, updated_at)", []
+    for t in SOURCE_TABLES:
+        key = _key(t)
+        keys, has_key = ", ".join(key), " AND ".join(f"{k} IS NOT NULL" for k in key)
+        early = f"(SELECT * FROM source1_{t} WHERE coalesce({key[0]} % 11, 0) <> 3)"
+        start = f"(SELECT greatest(max(created_at), max(updated_at)) FROM {early} AS e)"
+        times = f"SELECT {keys}, {changed} AS changed FROM"
+        delta = f"{times} source2_{t} WHERE {changed} > {start} AND {changed} <= {SECOND_LOAD}"
+        parts.append(f"""
+            SELECT '{t}' AS table_name, concat_ws(',', {", ".join(f"CAST(s.{k} AS VARCHAR)" for k in key)}) AS row_key,
+                CAST(s.changed AS VARCHAR) AS source_changed, CAST(b.changed AS VARCHAR) AS bronze_changed
+            FROM (SELECT {keys}, max({changed}) AS changed FROM source2_{t}
+                WHERE {has_key} AND ({changed} IS NULL OR {changed} <= {SECOND_LOAD}) GROUP BY {keys}) AS s
+            LEFT JOIN (SELECT {keys}, max(changed) AS changed, TRUE AS held
+                FROM ({times} {early} AS e UNION ALL {delta}) AS both_loads GROUP BY {keys}) AS b USING ({keys})
+            WHERE b.held IS NULL OR s.changed > b.changed OR s.changed IS NOT NULL AND b.changed IS NULL""")
+    return " UNION ALL ".join(parts)
+
+
 _FRACTIONS = DECIMALS | {"average_customer_rating"}
 
 
@@ -1051,6 +1072,8 @@ def oracle_queries() -> dict[str, str]:
     queries["fact_refresh"] = with_relations(
         f"SELECT *, CAST(0 AS INT) AS rows_after_empty_refresh FROM ({_digest_sql(refreshed)}) AS d"
     )
+    queries["fact_months"] = with_relations(_digest_sql(refreshed))
+    queries["missed_changes"] = with_relations(_missed_sql())
     same = {t: (f"silver2_{t}", "TRUE") for t in SOURCE_TABLES} | {f: (plain[f][0], "TRUE") for f in plain if f.startswith("fact_")}
     for d in _DIMENSIONS:
         columns = ", ".join(dimension_columns(d))

@@ -13,7 +13,7 @@ the calendar bounds; repeated activity collapses before the first shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -72,9 +72,12 @@ def densify(
     measures: Sequence[str],
     carried: Sequence[str] = (),
     cluster_by_month: bool = False,
+    choose: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Expand stretches over the spans; measures count in their own period only.
 
+    ``choose`` may leave out or cut stretches (``_first`` to ``_last``) before they are expanded.
+
     ``cluster_by_month`` brings the rows of a month together. Stretches are cut
     at month ends and range-partitioned before they are expanded; the entity
     takes part in the ranges, so a full month spreads over several tasks.
@@ -90,6 +93,8 @@ def densify(
         .where(overlap)
         .select(*kept, "period", *measures, *carried, first.alias("_first"), last.alias("_last"))
     )
+    if choose:
+        met = choose(met)
     if cluster_by_month:
         months = steps(F.trunc("_first", "MM"), F.trunc("_last", "MM"), "month")
         met = (

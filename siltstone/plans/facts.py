@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,6 +13,8 @@ from siltstone.operators.calendar import DAY, MONTH, spine_bounds
 from siltstone.operators.densify import contribution, densify, stretches, sum_contributions
 
 Silver = Mapping[str, DataFrame]
+# What may be left out before a fact is expanded.
+Choice = Callable[["DenseFact", DataFrame], DataFrame]
 
 # Spine start where a date is missing, completed-payment status.
 FALLBACK_START = "2023-01-01"
@@ -281,13 +283,15 @@ class DenseFact:
         as_of: AsOf,
         calendar: Calendar | None,
         cluster: bool,
+        choose: Choice | None,
     ) -> DataFrame:
         parts = _within(parts, as_of, calendar, self.carried)
         active = stretches(bounded, parts, self.entity, self.measures, self.carried)
         spans = version_spans(bounded, dimension, self.business_key, self.surrogate, self.step)
         spans = spans.select(self.entity, self.surrogate, "first_period", "last_period")
+        chosen = (lambda met: choose(self, met)) if choose else None
         return densify(
-            spans, active, self.entity, self.step, "full_date", self.measures, self.carried, cluster
+            spans, active, self.entity, self.step, "full_date", self.measures, self.carried, cluster, chosen
         ).withColumn("date_key", date_key(F.col("full_date")))
 
 
@@ -335,6 +339,7 @@ def fact_customer_daily_activity(
     as_of: AsOf,
     calendar: Calendar | None = None,
     cluster: bool = False,
+    choose: Choice | None = None,
 ) -> DataFrame:
     parts = [
         stream_days(silver),
@@ -343,7 +348,7 @@ def fact_customer_daily_activity(
         ticket_days(silver),
     ]
     bounded = customer_days(silver, as_of, calendar)
-    dense = CUSTOMER_DAY.build(bounded, dimension, parts, as_of, calendar, cluster)
+    dense = CUSTOMER_DAY.build(bounded, dimension, parts, as_of, calendar, cluster, choose)
     return dense.select(
         "customer_sk",
         "date_key",
@@ -362,6 +367,7 @@ def fact_content_monthly_performance(
     as_of: AsOf,
     calendar: Calendar | None = None,
     cluster: bool = False,
+    choose: Choice | None = None,
 ) -> DataFrame:
     parts = [
         stream_months(silver),
@@ -371,7 +377,7 @@ def fact_content_monthly_performance(
         wishlist_months(silver),
     ]
     bounded = content_months(silver, as_of, calendar)
-    dense = CONTENT_MONTH.build(bounded, dimension, parts, as_of, calendar, cluster)
+    dense = CONTENT_MONTH.build(bounded, dimension, parts, as_of, calendar, cluster, choose)
     return dense.withColumn("average_customer_rating", average_rating()).select(
         "content_sk",
         "date_key",
@@ -389,12 +395,13 @@ def fact_inventory_daily_utilization(
     as_of: AsOf,
     calendar: Calendar | None = None,
     cluster: bool = False,
+    choose: Choice | None = None,
 ) -> DataFrame:
     parts = [
         rental_ends(silver, "inventory_id", "rental_count", "return_count", "open_rentals")
     ]
     bounded = inventory_days(silver, as_of, calendar)
-    dense = INVENTORY_DAY.build(bounded, dimension, parts, as_of, calendar, cluster)
+    dense = INVENTORY_DAY.build(bounded, dimension, parts, as_of, calendar, cluster, choose)
     return dense.select(
         "inventory_sk",
         "date_key",

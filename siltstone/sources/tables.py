@@ -321,6 +321,27 @@ class TableStore:
         self._commit_new(table, base.version, schema, [p for p in base.parts if keep(p)], new)
         return {label: found[f"rows{i}"] for i, label in enumerate(labels)}
 
+    def replace_batches(self, base: Snapshot, rows: DataFrame, notes: Mapping[int, dict], gone: Sequence[int] = ()) -> int:
+        """Write the batches named by the column ``_label`` of ``rows`` in one job; other parts stay in their files.
+
+        What is replaced are the batches in ``notes`` and ``gone``, and parts without a batch. Gives the number of rows
+        written, which the footers of the files tell.
+        """
+        table, folder = base.table, f"part-{uuid.uuid4().hex}"
+        path = f"{self.root}/{table}/{folder}"
+        schema = StructType([f for f in rows.schema if f.name != "_label"])
+        if base.version and base.manifest["schema"] != schema.jsonValue() and base.parts:
+            raise ValueError(f"the columns of {table} have changed")
+        rows.write.partitionBy("_label").parquet(path)
+        counted = self.spark.read.schema(rows.schema).parquet(path).groupBy("_label").count().collect()
+        new = [
+            {"dir": f"{folder}/_label={r[0]}", "batch": str(r[0]), "after": None, "rows": r[1], "note": notes[r[0]]}
+            for r in counted
+        ]
+        out = {None, *map(str, notes), *map(str, gone)}
+        self._commit_new(table, base.version, schema, [p for p in base.parts if p["batch"] not in out], new)
+        return sum(p["rows"] for p in new)
+
     def vacuum(self, table: str, keep: int = 2, min_age_hours: float = 168) -> int:
         """Delete directories that none of the ``keep`` newest manifests lists.
 
