@@ -5,7 +5,7 @@ only the records on which it wins, so all others stay where they are. Weights tu
 ``-weight / ln(u)``, which gives each shard its share of records. Only expressions over the key: no shuffle, no state.
 
 A null key is a key like any other; equal keys go to the same shard; ties of scores go to the higher shard
-number. The number of a record within its shard (``slot``) is found without gathering a shard in one task: records are dealt
+number. The number of a record within its shard (``slot``) is found without gathering a shard or a key in one task: records are dealt
 into buckets of a shard, numbered there, and moved by the sizes of the buckets before.
 """
 
@@ -16,8 +16,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets per shard for the numbering; shards * buckets small rows are broadcast.
+# Buckets per shard for the numbering.
 BUCKETS = 512
+# Numbers that one row of the plan expands into at once.
+STRETCH = 65536
 
 
 def score(key: Column, shard: int, weight: float) -> Column:
@@ -42,20 +44,28 @@ def crc32(text: Column) -> Column:
 def with_slots(rows: DataFrame, order: Sequence[str], shard: str = "shard", slot: str = "slot") -> DataFrame:
     """Number the rows of each shard from 0 without gaps, in tasks of a bucket each.
 
-    ``order`` are columns of ``rows``; the first alone deals rows into buckets, so counting the buckets reads no other. Rows equal in all of them are
-    interchangeable. ``rows`` must not have columns named ``slot`` or beginning with ``_``.
+    ``order`` are columns of ``rows`` that deal rows into buckets and order them there. Rows equal in all columns
+    are interchangeable: they are counted before they are shuffled, numbered as one and expanded in stretches of ``STRETCH`` that
+    are spread over tasks, so neither a repeated key nor a repeated row makes a task large. Rows that differ may share a key:
+    all of ``order`` takes part in the dealing. ``rows`` must not have columns named ``slot`` or beginning with ``_``.
     """
-    dealt = rows.withColumn("_bucket", F.pmod(F.xxhash64(F.col(order[0]), F.lit("slot")), F.lit(BUCKETS)).cast("int"))
-    sizes = dealt.groupBy(F.col(shard).alias("_shard"), F.col("_bucket").alias("_b")).agg(F.count("*").alias("_n"))
+    distinct = rows.groupBy(*rows.columns).agg(F.count("*").alias("_n"))
+    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in order], F.lit("slot")), F.lit(BUCKETS)).cast("int")
+    dealt = distinct.withColumn("_bucket", bucket)
+    sizes = dealt.groupBy(F.col(shard).alias("_shard"), F.col("_bucket").alias("_b")).agg(F.sum("_n").alias("_n"))
     before = Window.partitionBy("_shard").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_shard", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy(shard, "_bucket").orderBy(*order)
-    numbered = dealt.withColumn("_row", F.row_number().over(within) - 1)
-    # At most shards * BUCKETS rows, whatever the size of the data.
-    joined = numbered.join(
-        F.broadcast(starts), (F.col(shard) == F.col("_shard")) & (F.col("_bucket") == F.col("_b"))
-    )
-    return joined.select(*rows.columns, (F.col("_start") + F.col("_row")).alias(slot))
+    rest = [c for c in rows.columns if c not in order]
+    within = Window.partitionBy(shard, "_bucket").orderBy(*order, *rest)
+    earlier = F.coalesce(F.sum("_n").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    numbered = dealt.withColumn("_row", earlier)
+    # At most shards * BUCKETS rows; no hint, so Spark broadcasts them only if they are small.
+    joined = numbered.join(starts, (F.col(shard) == F.col("_shard")) & (F.col("_bucket") == F.col("_b")))
+    first, last = F.col("_start") + F.col("_row"), F.col("_start") + F.col("_row") + F.col("_n") - 1
+    cut = joined.select(*rows.columns, last.alias("_last"), F.explode(F.sequence(first, last, F.lit(STRETCH))).alias("_from"))
+    cut = cut.repartition(F.col(shard), F.floor(F.col("_from") / STRETCH))
+    upto = F.least(F.col("_from") + STRETCH - 1, "_last")
+    return cut.select(*rows.columns, F.explode(F.sequence("_from", upto)).alias(slot))
 
 
 def assign(
@@ -74,8 +84,20 @@ def assign(
     return with_slots(rows, [key, "text_crc32", "size"])
 
 
-def write_shards(docs: DataFrame, path: str, weights: Sequence[float], key: str = "doc_id", files: int = 16) -> None:
-    """The records themselves, a folder per shard and up to ``files`` files in each, so no task writes a whole shard."""
-    rows = docs.withColumn("shard", shard_of(F.col(key), weights))
-    spread = F.pmod(F.xxhash64(F.col(key), F.lit("file")), F.lit(files))
-    rows.repartition(F.col("shard"), spread).write.partitionBy("shard").parquet(path)
+def write_shards(
+    docs: DataFrame,
+    path: str,
+    weights: Sequence[float],
+    key: str = "doc_id",
+    files: int = 16,
+    column: str = "shard",
+) -> None:
+    """The records themselves, a folder per shard and up to ``files`` files in each, so no task writes a whole shard.
+
+    Folders are named by ``column``, which must not be one of ``docs``. Rows that share a key are spread unless they are equal.
+    """
+    if column in docs.columns:
+        raise ValueError(f"the records have a column {column}; name the folders otherwise")
+    rows = docs.withColumn(column, shard_of(F.col(key), weights))
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in docs.columns], F.lit("file")), F.lit(files))
+    rows.repartition(F.col(column), spread).write.partitionBy(column).parquet(path)

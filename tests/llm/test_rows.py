@@ -236,8 +236,21 @@ def test_shards_of_edge_rows(spark, edge, nothing, tmp_path):
     for s in {r.shard for r in rows}:
         assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
     assert shards.assign(nothing, [1.0], [1.0, 1.0]).collect() == []
-    shards.write_shards(edge.select("doc_id", "text"), str(tmp_path / "out"), [1.0, 1.0])
-    assert spark.read.parquet(str(tmp_path / "out")).count() == len(EDGE)
+    with pytest.raises(ValueError, match="a column shard"):
+        shards.write_shards(edge, str(tmp_path / "out"), [1.0, 1.0])
+    shards.write_shards(edge, str(tmp_path / "out"), [1.0, 1.0], column="part")
+    kept = spark.read.parquet(str(tmp_path / "out")).drop("part")
+    assert sorted(kept.select(edge.columns).collect(), key=str) == sorted(edge.collect(), key=str)
+
+
+def test_slots_of_a_hot_key(spark, monkeypatch):
+    """Half of all rows are copies of one, a fourth share its key: slots stay gapless, and no task numbers the copies one by one."""
+    monkeypatch.setattr(shards, "STRETCH", 7)
+    copies = [(5, "same")] * 100 + [(5, f"text {i}") for i in range(50)] + [(i, None) for i in range(50)]
+    rows = shards.assign(spark.createDataFrame(copies, "doc_id bigint, text string"), [1.0] * 3, [1.0] * 4).collect()
+    assert len(rows) == 200 and sum(r.text_crc32 == zlib.crc32(b"same") for r in rows) == 100
+    for s in {r.shard for r in rows}:
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
 
 
 TURNS = "conv_id bigint, turn bigint, role string, text string, segments string, formatted string"
