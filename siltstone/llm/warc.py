@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import small_batches, written
+from siltstone.session import shared_folder
 
 # The fields of a record's header line, for each version.
 ARC_FIELDS = {
@@ -156,6 +157,18 @@ def warc_date(arc_date: str) -> str:
     return f"{digits[:4]}-{digits[4:6]}-{digits[6:8]}T{digits[8:10]}:{digits[10:12]}:{digits[12:]}Z"
 
 
+def stored_arcs(arcs: DataFrame) -> DataFrame:
+    """The archives as a table in the shared folder. All readers then see the same archives, also after a lost executor:
+    packed again from rows in another order, they would give records other identifiers.
+    """
+    spark = arcs.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/arcs-{uuid.uuid4().hex}"
+    # Rows are megabytes, so the writer looks at its buffer after each.
+    often = {f"parquet.{unit}.size.row.check.min": "1" for unit in ("page", "block")}
+    arcs.write.options(**often, **{"parquet.block.size": str(8 * ARC_BYTES)}).parquet(path)
+    return spark.read.schema(arcs.schema).parquet(path)
+
+
 def convert(arcs: DataFrame, with_payload: bool = True) -> DataFrame:
     """ARC archives (name, content) to the fields of WARC records, one row per record (descriptions apart)."""
     small_batches(arcs.sparkSession)
@@ -264,7 +277,7 @@ def write_warcs(records: DataFrame, path: str, limit: int = WARC_BYTES) -> None:
 
 
 def warc_records(name: str, content: bytes) -> Iterator[tuple[dict[bytes, bytes], bytes]]:
-    """(header fields, block) of each record, by declared length."""
+    """(header fields, block) of each record, by declared length. A block that isn't what its digest says is an error."""
     at = 0
     while at < len(content):
         end = content.find(b"\r\n\r\n", at)
@@ -276,6 +289,9 @@ def warc_records(name: str, content: bytes) -> Iterator[tuple[dict[bytes, bytes]
         block = content[end + 4 : end + 4 + size]
         if len(block) != size:
             raise ValueError(f"{name}: the record at byte {at} is cut off")
+        declared = header.get(b"warc-block-digest", b"")
+        if declared.startswith(b"sha256:") and declared[7:] != hashlib.sha256(block).hexdigest().encode():
+            raise ValueError(f"{name}: the record at byte {at} has another digest")
         yield header, block
         at = end + 4 + size + 4
 
@@ -322,7 +338,7 @@ def read_warcs(spark: SparkSession, path: str, with_payload: bool = True) -> Dat
 
 def archive_pages(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", body: str = "html") -> DataFrame:
     """Pages through legacy archives and the converter into WARC archives at ``path``, and the records read back."""
-    arcs = pack_arcs(pages, key, url, body)
+    arcs = stored_arcs(pack_arcs(pages, key, url, body))
     number = F.col("record_key").cast("bigint")
     light = convert(arcs, with_payload=False).withColumn("key_number", number)
     records = convert(arcs).withColumn("key_number", number)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 
 import numpy as np
 import plain
 import pytest
 from cases import EDGE, FOLDER, SENTENCE
+from pyspark.sql import functions as F
 
 from siltstone.llm import lines, neardup, warc
 from siltstone.llm.components import components
@@ -246,6 +248,25 @@ def test_arc_versions(version):
 # ---------------------------------------------------------------- pipeline
 
 
+def test_a_changed_block_is_noticed():
+    block = b"HTTP/1.1 200 OK\r\n\r\nhello"
+    fields = [("WARC-Type", "response"), ("WARC-Block-Digest", "sha256:" + hashlib.sha256(block).hexdigest())]
+    content = warc.warc_bytes(fields, block)
+    assert [b for _, b in warc.warc_records("x.warc", content * 2)] == [block] * 2
+    with pytest.raises(ValueError, match="byte 0 has another digest"):
+        list(warc.warc_records("x.warc", content.replace(b"hello", b"jello")))
+
+
+def test_archives_are_packed_once(spark, tmp_path):
+    """Rows come in another order each time they are computed; all readers see one packing, so no reference dangles."""
+    many = spark.range(600).select(
+        F.col("id").alias("page_id"), F.lit("http://h/").alias("url"), F.repeat(F.lit("same text "), 20).alias("html")
+    )
+    arcs = warc.stored_arcs(warc.pack_arcs(many.orderBy(F.rand()), "page_id", "url", "html"))
+    ids = [{r.record_id for r in warc.convert(arcs, with_payload=p).collect()} for p in (False, True)]
+    assert ids[0] == ids[1] and len(ids[0]) == 600
+
+
 def test_pipeline_by_brute_force(query, given):
     rows = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in query("pipeline")}
     assert rows == plain.pipeline(given(), given("benchmark", "item_id"))
