@@ -191,7 +191,7 @@ class Splitter:
 
     PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
     ENDINGS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
-    OTHER, LETTER, NUMBER, SPACE = range(4)
+    OTHER, LETTER, NUMBER, SPACE, SEAM = range(5)
 
     def __init__(self):
         self.kind = np.zeros(0x110000, np.uint8)
@@ -200,16 +200,13 @@ class Splitter:
             for run in regex.findall(of, every):
                 self.kind[[ord(c) for c in run]] = kind
 
-    def __call__(self, text: str) -> list[str]:
-        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    def _cut(self, text: str, codes: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """Whether a match begins at each character."""
         size = len(codes)
-        if not size:
-            return []
-        kind = self.kind[codes]
         cut = np.ones(size, bool)
         np.not_equal(kind[1:], kind[:-1], out=cut[1:])
         # White space before something else leaves its last character to it, or by itself.
-        after = np.flatnonzero(cut[1:] & (kind[:-1] == self.SPACE)) + 1
+        after = np.flatnonzero(cut[1:] & (kind[:-1] == self.SPACE) & (kind[1:] != self.SEAM)) + 1
         cut[after - 1] = True
         cut[after[codes[after - 1] == 0x20]] = False
         for q in np.flatnonzero(codes == 0x27).tolist():
@@ -221,9 +218,37 @@ class Splitter:
                     cut[q + 1] = False
                     if q + len(ending) < size:
                         cut[q + len(ending)] = True
-        at = np.flatnonzero(cut).tolist()
+        return cut
+
+    def __call__(self, text: str) -> list[str]:
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        size = len(codes)
+        if not size:
+            return []
+        at = np.flatnonzero(self._cut(text, codes, self.kind[codes])).tolist()
         return [text[a:b] for a, b in zip(at, [*at[1:], size], strict=True)]
 
+    def column(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The matches of all texts in one column, an empty one behind each text, and where those stand."""
+        # Texts are split as one, with a character between them that matches nothing and is no part of the column.
+        text = "\0".join([*texts, ""])
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        kind = self.kind[codes]
+        seams = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64) - 1
+        kind[seams] = self.SEAM
+        cut = self._cut(text, codes, kind)
+        cut[seams] = True
+        starts = np.flatnonzero(cut)
+        data = "".join(texts).encode()
+        if len(data) + len(texts) == len(codes):
+            width = np.ones(len(codes), np.int8)
+        else:
+            width = 1 + (codes >= 0x80).view(np.int8) + (codes >= 0x800).view(np.int8) + (codes >= 0x10000).view(np.int8)
+        width[seams] = 0
+        offsets = np.concatenate(([0], np.cumsum(width, dtype=np.int64)))[np.append(starts, len(codes))]
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data)]
+        return pa.Array.from_buffers(pa.large_string(), len(starts), buffers), np.searchsorted(starts, seams)
+
 
 class Encoder:
     def __init__(self, file: bytes, pattern: str):

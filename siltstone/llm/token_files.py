@@ -19,8 +19,10 @@ from __future__ import annotations
 
 import json
 import os
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count, groupby, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +37,10 @@ from siltstone.llm.common import small_batches, strings
 
 # Texts that make one pair of files.
 TEXT_BYTES, FILE_DOCUMENTS = 32 << 20, 4_000_000
-# Pre-tokens a worker remembers, those longer than this apart.
-REMEMBERED, REMEMBERED_LENGTH = 500_000, 64
+# Pre-tokens a worker remembers and ids that they have, those longer than this apart.
+REMEMBERED, REMEMBERED_IDS, REMEMBERED_LENGTH = 500_000, 4_000_000, 64
+# Characters of texts that are looked up at once, and new pre-tokens in one call of the library.
+GROUP_LENGTH, CALL_WORDS = 2 << 20, 1000
 MAX_FILE = 64 << 20
 RECORD = np.dtype([("key", "<i8"), ("has_key", "<i8"), ("start", "<i8")])
 LINE_END = b"\0"
@@ -47,8 +51,9 @@ READ_IDS = 1 << 20
 class Encoder:
     """The ids that the library gives to texts.
 
-    With a byte-level pre-tokenizer of the known pattern a text's ids are those of its pre-tokens, which the library encodes once
-    per worker. A text with an added token in it, and any other tokenizer, goes to the library as it is.
+    With a byte-level pre-tokenizer of the known pattern a text's ids are those of its pre-tokens. A group of texts is split as one
+    column and only its distinct pre-tokens are looked up; the library encodes those that the worker doesn't remember. A text with an
+    added token in it, and any other tokenizer, goes to the library as it is.
     """
 
     def __init__(self, file: bytes):
@@ -61,30 +66,84 @@ class Encoder:
         self.split = Splitter() if alone and known.items() <= before.items() else None
         self.added = [t["content"] for t in parts.get("added_tokens") or ()]
         self.item = item_type(max(self.library.get_vocab(with_added_tokens=True).values(), default=0))
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.item).tobytes() for e in found]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        whole = [self.split is None or any(a in t for a in self.added) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known, get = self.known, self.known.get
-        words = [() if w else self.split(t) for t, w in zip(texts, whole, strict=True)]
-        found = [list(map(get, w)) for w in words]
-        late = [k for k, ids in enumerate(found) if None in ids]
-        new = list({w for k in late for w, ids in zip(words[k], found[k], strict=True) if ids is None})
-        known.update(zip(new, self._encode(new), strict=True))
-        for k in late:
-            found[k] = map(get, words[k])
-        out = list(map(b"".join, found))
+        self._remember([], np.zeros(0, self.item), np.zeros(0, np.int64))
+
+    def _remember(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        # Pre-tokens are numbered as they are met; the ids of number n stand from ends[n] to ends[n + 1].
+        self.numbers = defaultdict(count(len(words)).__next__, zip(words, range(len(words)), strict=True))
+        self.ids, self.ends = ids, np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+        # In how many groups of texts each was found.
+        self.groups = np.ones(len(words), np.int32)
+
+    def _ids_of(self, numbers: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``numbers[at]`` one after the other, and where each begins and ends."""
+        sizes = (self.ends[numbers + 1] - self.ends[numbers])[at]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        return self.ids[np.repeat(self.ends[numbers][at] - ends[:-1], sizes) + np.arange(ends[-1])], ends
+
+    def _make_room(self) -> None:
+        """Half of the room goes to the pre-tokens found in most groups, two at least; the others are forgotten."""
+        often = np.argsort(-self.groups, kind="stable")[: REMEMBERED // 2]
+        often = often[np.cumsum(np.diff(self.ends)[often]) <= REMEMBERED_IDS // 2]
+        keep = np.zeros(len(self.groups), bool)
+        keep[often[self.groups[often] > 1]] = True
+        kept = {w: n for w, n in self.numbers.items() if keep[n]}
+        numbers = np.array(list(kept.values()), np.int64)
+        ids, ends = self._ids_of(numbers, np.arange(len(numbers)))
+        self._remember(list(kept), ids, np.diff(ends))
+
+    def _whole(self, text: str) -> np.ndarray:
+        found = self.library.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found[0].ids, self.item)
+
+    def _learn(self, words: list[str]) -> None:
+        """The ids of the pre-tokens with the next numbers. Short ones share a call, which tells whose each id is."""
+        ids, sizes = [self.ids], []
+        for long, run in groupby(words, lambda w: len(w) > REMEMBERED_LENGTH):
+            if long:
+                found = list(map(self._whole, run))
+                ids += found
+                sizes += map(len, found)
+                continue
+            while part := list(islice(run, CALL_WORDS)):
+                found = self.library.encode(part, is_pretokenized=True, add_special_tokens=False)
+                ids.append(np.array(found.ids, self.item))
+                sizes += np.bincount(found.word_ids, minlength=len(part)).tolist()
+        self.ids = np.concatenate(ids)
+        self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(sizes, dtype=np.int64))
+        self.groups = np.append(self.groups, np.zeros(len(words), np.int32))
+
+    def _looked_up(self, texts: list[str]) -> list[bytes]:
+        if len(self.groups) > REMEMBERED or len(self.ids) > REMEMBERED_IDS:
+            self._make_room()
+        words, seams = self.split.column(texts)
+        words = words.dictionary_encode()
+        before = len(self.numbers)
+        distinct = words.dictionary.to_numpy(zero_copy_only=False)
+        numbers = np.fromiter(map(self.numbers.__getitem__, distinct), np.int64, len(distinct))
+        new = list(islice(reversed(self.numbers), len(self.numbers) - before))[::-1]
+        self._learn(new)
+        self.groups[numbers] += 1
+        ids, ends = self._ids_of(numbers, words.indices.to_numpy())
+        data, bounds = ids.tobytes(), ends[seams] * self.item.itemsize
         for w in new:
             if len(w) > REMEMBERED_LENGTH:
-                del known[w]
-        for k in np.flatnonzero(whole).tolist():
-            out[k] = self._encode([texts[k]])[0]
+                del self.numbers[w]
+        return [data[a:b] for a, b in pairwise([0, *bounds.tolist()])]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        out = [b""] * len(texts)
+        group, size = [], 0
+        for k, text in enumerate(texts):
+            if self.split is None or any(a in text for a in self.added):
+                out[k] = self._whole(text).tobytes()
+            else:
+                group.append(k)
+                size += len(text)
+            if group and (size >= GROUP_LENGTH or k == len(texts) - 1):
+                for k, ids in zip(group, self._looked_up([texts[k] for k in group]), strict=True):
+                    out[k] = ids
+                group, size = [], 0
         return out
 
 

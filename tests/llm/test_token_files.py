@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
@@ -12,6 +14,7 @@ import tokenizers
 from cases import CLASHING, EDGE
 
 from siltstone.llm import token_files
+from siltstone.llm.bpe import Splitter
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -47,6 +50,52 @@ def test_encoder_by_the_library(library):
         assert np.frombuffer(ids, encoder.item).tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+SIGNS = ["a", "B", "é", "中", "1", "'", "'s", "'re", "'ll", " ", "  ", "\n", "\u2003", "!", "\0", "\U0001f642", "x" * 70]
+
+
+def test_texts_are_split_as_one():
+    """The matches in a column are those of each text alone, whatever its neighbours are."""
+    rng, split = random.Random(7), Splitter()
+    for most in (3, 12):
+        texts = ["".join(rng.choices(SIGNS, k=rng.randrange(most))) for _ in range(4000)]
+        words, seams = split.column(texts)
+        words = words.to_pylist()
+        assert [words[a + 1 : b] for a, b in pairwise([-1, *seams.tolist()])] == [split(t) for t in texts]
+        assert not any(words[k] for k in seams.tolist())
+
+
+class Counted:
+    """The library, and the pre-tokens it was given."""
+
+    def __init__(self, library):
+        self.library, self.given = library, Counter()
+
+    def encode(self, words, **options):
+        self.given.update(words)
+        return self.library.encode(words, **options)
+
+    def encode_batch_fast(self, words, **options):
+        self.given.update(words)
+        return self.library.encode_batch_fast(words, **options)
+
+
+def test_frequent_pre_tokens_are_encoded_once(library, monkeypatch):
+    """Making room for new pre-tokens forgets neither the frequent ones nor any id, and what is kept has a bound."""
+    with open(PATH, "rb") as f:
+        encoder = token_files.Encoder(f.read())
+    monkeypatch.setattr(token_files, "REMEMBERED", 200)
+    monkeypatch.setattr(token_files, "REMEMBERED_IDS", 3000, raising=False)
+    encoder.library = Counted(library)
+    frequent = [f" frequent{'abcdefghij'[k]}" for k in range(10)]
+    for call in range(60):
+        rare = [" " + "".join(chr(97 + (call * 40 + k) // 26**d % 26) for d in range(3)) + "rare" for k in range(40)]
+        texts = ["".join(frequent + rare), "", f" {'y' * (70 + call)}", "".join(rare[:5])]
+        for text, ids in zip(texts, encoder(texts), strict=True):
+            assert np.frombuffer(ids, encoder.item).tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(encoder.numbers) <= 300 and len(encoder.ids) <= 6000
+    assert max(encoder.library.given[w] for w in frequent) == 1
+
+
 @pytest.mark.parametrize("end", [0, 50256, 70000])
 def test_edge_texts(edge, spark, library, tmp_path, end):
     """Also with end ids that have no zero byte, or need 32 bits; and a null key."""
