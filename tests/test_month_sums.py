@@ -1,0 +1,25 @@
+"""The sums behind the digests of months: whole numbers in three parts, and nothing that is evaluated element by element."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from siltstone.operators.months import _sums, _whole, month_digests
+
+MET = "sk bigint, period date, n bigint, _first date, _last date"
+
+
+def test_sums_of_parts_are_those_of_the_hashes(rows_of):
+    values = [2**63 - 1, 2**63 - 1, -(2**63), -1, 0, 1, -(2**44), 2**22 - 1]
+    rows = rows_of("g int, v bigint, sign bigint", *[(g, v, 1 - 2 * g) for g in (0, 1) for v in (*values, *values[:2] * 5)])
+    found = rows.groupBy("g").agg(*_sums("v", "s")).select("g", _whole("s").cast("string").alias("total")).collect()
+    total = sum((*values, *values[:2] * 5))
+    assert {r.g: int(r.total) for r in found} == {0: total, 1: -total}
+
+
+def test_no_element_functions_and_no_sums_of_decimals_of_stretches(rows_of):
+    day = dt.date(2024, 1, 5)
+    plan = month_digests(rows_of(MET, (1, day, 1, day, dt.date(2024, 4, 9))), ("sk",), ("n",))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan
+    first = [line for line in plan.splitlines() if "xxhash64" in line or "Aggregate [month" in line]
+    assert first and "decimal" not in first[-1]
