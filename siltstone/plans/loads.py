@@ -205,7 +205,7 @@ def load_silver_changes(store: TableStore, as_of: AsOf, parallel: int = PARALLEL
     """The same Silver, from the Bronze parts that no earlier call has seen; the first call sees all."""
     changes: dict[str, TableChange] = {}
     parents = {p for spec in SPECS.values() for p in spec.parents}
-    with Stage(store.spark, f"{store.root}/_stage") as stage:
+    with Stage(store.spark, f"{store.root}/_stage", compact=True) as stage:
 
         def load(name: str, silver: Layer) -> dict[str, int]:
             change = TableChange(store, SPECS[name], as_of, stage, name in parents)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -44,16 +47,35 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{warehouse}/_stage"
 
 
+# Seconds of a write after which the shuffle files behind it are worth a collection.
+LONG_WRITE = 2.0
+
+
+@contextmanager
+def freeing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Around a write. Spark deletes a job's shuffle files when the driver's JVM has collected its plan, which may be
+    long after all others of a load have added theirs; so after a long write it is asked to."""
+    began = time.monotonic()
+    yield
+    if time.monotonic() - began > LONG_WRITE:
+        free(spark)
+
+
+def free(spark: SparkSession) -> None:
+    spark._jvm.System.gc()
+
+
 class Stage:
     """Intermediate tables written once and read by several plans.
 
     A written table ends the lineage: whatever reads it does not repeat the
     work behind it, also after an executor is lost. Its owner calls ``remove`` (or
-    uses it in a ``with`` block) when nothing reads the tables any more.
+    uses it in a ``with`` block) when nothing reads the tables any more. With ``compact`` the disk counts more than
+    the time: tables are packed more tightly, and shuffle files freed after long writes.
     """
 
-    def __init__(self, spark: SparkSession, folder: str | None = None):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, folder: str | None = None, compact: bool = False):
+        self.spark, self.compact = spark, compact
         folder = folder or shared_folder(spark)
         self.root = f"{folder.rstrip('/')}/stage-{uuid.uuid4().hex}"
 
@@ -63,12 +85,21 @@ class Stage:
     def __exit__(self, *error: object) -> None:
         self.remove()
 
-    def remove(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+    def remove(self, *names: str) -> None:
+        """Delete all tables, or those named."""
+        for folder in [f"{self.root}/{name}" for name in names] or [self.root]:
+            self._delete(folder)
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def keep(self, name: str, rows: DataFrame) -> DataFrame:
-        rows.write.parquet(f"{self.root}/{name}")
+        if self.compact:
+            with freeing_shuffles(self.spark):
+                rows.write.option("compression", "zstd").parquet(f"{self.root}/{name}")
+        else:
+            rows.write.parquet(f"{self.root}/{name}")
         return self.read(rows.schema, name)
 
     def read(self, schema: StructType, *names: str) -> DataFrame:

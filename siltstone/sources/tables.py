@@ -28,6 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from siltstone.session import freeing_shuffles
 
 # The change times whose newest values a part keeps, for the watermark.
 CHANGE_TIMES = ("created_at", "updated_at")
@@ -197,6 +198,10 @@ class TableStore:
 
     # -- writing ---------------------------------------------------------
 
+    def _write(self, rows: DataFrame, table: str, folder: str, *partition_by: str) -> None:
+        with freeing_shuffles(self.spark):
+            rows.write.option("compression", "zstd").partitionBy(*partition_by).parquet(f"{self.root}/{table}/{folder}")
+
     def _write_part(
         self,
         table: str,
@@ -212,7 +217,7 @@ class TableStore:
         seen = Observation(folder)
         times = [F.max(c).cast("string").alias(c) for c in CHANGE_TIMES if c in rows.columns]
         counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *times, *_digest_metrics(rows.schema))
-        counted.write.partitionBy(*partition_by).parquet(f"{self.root}/{table}/{folder}")
+        self._write(counted, table, folder, *partition_by)
         start = after.isoformat(sep=" ") if after else None
         return {"dir": folder, "batch": batch, "after": start, **seen.get}
 
@@ -304,7 +309,7 @@ class TableStore:
             for c in spans:
                 values = F.when(here, F.col(c))
                 metrics += [F.min(values).cast("string").alias(f"min{i}_{c}"), F.max(values).cast("string").alias(f"max{i}_{c}")]
-        rows.observe(seen, *metrics).write.partitionBy("_label").parquet(f"{self.root}/{table}/{folder}")
+        self._write(rows.observe(seen, *metrics), table, folder, "_label")
         found = seen.get
         new = [
             {
@@ -332,7 +337,7 @@ class TableStore:
         schema = StructType([f for f in rows.schema if f.name != "_label"])
         if base.version and base.manifest["schema"] != schema.jsonValue() and base.parts:
             raise ValueError(f"the columns of {table} have changed")
-        rows.write.partitionBy("_label").parquet(path)
+        self._write(rows, table, folder, "_label")
         counted = self.spark.read.schema(rows.schema).parquet(path).groupBy("_label").count().collect()
         new = [
             {"dir": f"{folder}/_label={r[0]}", "batch": str(r[0]), "after": None, "rows": r[1], "note": notes[r[0]]}
@@ -342,6 +347,12 @@ class TableStore:
         self._commit_new(table, base.version, schema, [p for p in base.parts if p["batch"] not in out], new)
         return sum(p["rows"] for p in new)
 
+    def forget(self, old: Snapshot) -> None:
+        """Delete the files of a superseded version that the newest has not taken over; only for tables whose writer is their only reader."""
+        live = {p["dir"].split("/")[0] for p in self.snapshot(old.table).parts}
+        for folder in {p["dir"].split("/")[0] for p in old.parts} - live:
+            self._fs.delete(self._path(old.table, folder), True)
+
     def vacuum(self, table: str, keep: int = 2, min_age_hours: float = 168) -> int:
         """Delete directories that none of the ``keep`` newest manifests lists.
 
