@@ -66,3 +66,9 @@ def test_a_rerun_makes_each_fact_in_the_store_and_keeps_no_copy(lake):
     assert len(found) == 22 and all(r.is_equal for r in found.values())
     assert found["rental"].row_count > 0 and found["fact_customer_daily_activity"].row_count > 0
     assert not lake._kept.keys() & {*facts.FACTS, "silver2_rental"} and "rental" not in lake.silver()._kept
+
+
+def test_reject_counts_keep_no_copy_of_the_stored_tables(lake):
+    found = builders()["reject_counts"](lake).collect()
+    assert found and all(r.counted == r.stored for r in found)
+    assert not lake._kept and not lake.silver()._kept
